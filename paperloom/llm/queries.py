@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from paperloom.llm.names import link_names, name_pairs
+from paperloom.llm.survivors import survivors
 from paperloom.session import table
 
 QUERIES: dict = {}
@@ -22,3 +23,8 @@ def query(name: str, sql: str | None = None):
 @query("p4_found")
 def p4_found(spark, d):
     return name_pairs(link_names(table(spark, d, "normalized_papers").select("authors", "institution_id")))
+
+
+@query("p5_found")
+def p5_found(spark, d):
+    return survivors(table(spark, d, "normalized_papers"))
