@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from paperloom.llm.languages import find_languages, found
 from paperloom.llm.names import link_names, name_pairs
 from paperloom.llm.survivors import survivors
 from paperloom.session import table
@@ -28,3 +29,10 @@ def p4_found(spark, d):
 @query("p5_found")
 def p5_found(spark, d):
     return survivors(table(spark, d, "normalized_papers"))
+
+
+@query("p1_found")
+def p1_found(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text", "lang")
+    papers = table(spark, d, "normalized_papers").select("ord", "title_kor", "title_other", "abstract_other")
+    return found(find_languages(docs, papers))
