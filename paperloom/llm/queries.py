@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from paperloom.llm.languages import find_languages, found
 from paperloom.llm.names import link_names, name_pairs
+from paperloom.llm.sentences import align
 from paperloom.llm.survivors import survivors
 from paperloom.session import table
 
@@ -36,3 +39,10 @@ def p1_found(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text", "lang")
     papers = table(spark, d, "normalized_papers").select("ord", "title_kor", "title_other", "abstract_other")
     return found(find_languages(docs, papers))
+
+
+@query("p3_found")
+def p3_found(spark, d):
+    papers = table(spark, d, "normalized_papers").select("ord", "abstract_kor", "abstract_eng")
+    pairs = align(papers, "ord", "abstract_kor", "abstract_eng")
+    return pairs.select(F.col("id").alias("ord"), F.col("a_no").alias("kor_no"), F.col("b_no").alias("eng_no"))
