@@ -24,7 +24,7 @@ from paperloom.session import cut
 
 FLOOR = 5e-5
 RANK = 160
-THRESHOLD, JOIN = 0.22, 0.38
+THRESHOLD, JOIN = 0.5, 0.5
 
 _SENT_END = re.compile(r"(?<=[.!?])\s+")
 _CLAUSE = re.compile(r"[;,]\s+")
