@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from paperloom.llm.languages import find_languages, found
 from paperloom.llm.names import link_names, name_pairs
+from paperloom.llm.reading import reading_levels
 from paperloom.llm.sentences import align
 from paperloom.llm.survivors import survivors
 from paperloom.session import table
@@ -46,3 +47,9 @@ def p3_found(spark, d):
     papers = table(spark, d, "normalized_papers").select("ord", "abstract_kor", "abstract_eng")
     pairs = align(papers, "ord", "abstract_kor", "abstract_eng")
     return pairs.select(F.col("id").alias("ord"), F.col("a_no").alias("kor_no"), F.col("b_no").alias("eng_no"))
+
+
+@query("p10_found")
+def p10_found(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text", "lang")
+    return reading_levels(docs, table(spark, d, "reading_labels")).select("doc_id", "read_level")
