@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from paperloom.llm.languages import find_languages, found
+from paperloom.llm.linkage import link
 from paperloom.llm.names import link_names, name_pairs
 from paperloom.llm.reading import reading_levels
 from paperloom.llm.sentences import align
@@ -53,3 +54,9 @@ def p3_found(spark, d):
 def p10_found(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text", "lang")
     return reading_levels(docs, table(spark, d, "reading_labels")).select("doc_id", "read_level")
+
+
+@query("p2_found")
+def p2_found(spark, d):
+    pairs = link(table(spark, d, "kci_papers"), table(spark, d, "scopus_papers"))
+    return pairs.select(F.col("a_id").alias("kci_id"), F.col("b_id").alias("scopus_id"))
