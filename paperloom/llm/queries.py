@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from paperloom.llm.increments import repeats
 from paperloom.llm.languages import find_languages, found
 from paperloom.llm.linkage import link
 from paperloom.llm.names import link_names, name_pairs
@@ -60,3 +61,8 @@ def p10_found(spark, d):
 def p2_found(spark, d):
     pairs = link(table(spark, d, "kci_papers"), table(spark, d, "scopus_papers"))
     return pairs.select(F.col("a_id").alias("kci_id"), F.col("b_id").alias("scopus_id"))
+
+
+@query("p7_found")
+def p7_found(spark, d):
+    return repeats(table(spark, d, "kci_corpus"), table(spark, d, "corpus_batches"))
