@@ -8,10 +8,13 @@ from paperloom.llm.increments import repeats
 from paperloom.llm.languages import find_languages, found
 from paperloom.llm.linkage import link
 from paperloom.llm.names import link_names, name_pairs
+from paperloom.llm.mixing import mix, rates, shares
+from paperloom.llm.packing import pack, usage
 from paperloom.llm.reading import reading_levels
 from paperloom.llm.sentences import align
 from paperloom.llm.survivors import survivors
-from paperloom.session import table
+from paperloom.llm.tokens import token_counts
+from paperloom.session import cut, table
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -66,3 +69,29 @@ def p2_found(spark, d):
 @query("p7_found")
 def p7_found(spark, d):
     return repeats(table(spark, d, "kci_corpus"), table(spark, d, "corpus_batches"))
+
+
+def _sizes(spark, d):
+    return cut(token_counts(table(spark, d, "documents"), keep=("source",)))
+
+
+@query("p8_containers")
+def p8_containers(spark, d):
+    return pack(_sizes(spark, d), table(spark, d, "pack_specs"))
+
+
+@query("p8_usage")
+def p8_usage(spark, d):
+    specs = table(spark, d, "pack_specs")
+    return usage(pack(_sizes(spark, d), specs), specs)
+
+
+@query("p9_mixture")
+def p9_mixture(spark, d):
+    return mix(_sizes(spark, d), table(spark, d, "mix_targets"))
+
+
+@query("p9_shares")
+def p9_shares(spark, d):
+    sizes, targets = _sizes(spark, d), table(spark, d, "mix_targets")
+    return shares(mix(sizes, targets), rates(sizes, targets))
