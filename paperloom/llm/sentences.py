@@ -96,52 +96,63 @@ class Vectors:
         self.u = self.v = None
 
     def clause_matrix(self, side: str, packed: list[str]) -> np.ndarray:
-        ids, w, vec = (self.a_ids, self.a_w, self.u) if side == "a" else (self.b_ids, self.b_w, self.v)
-        flat, owner = [], []
-        for i, p in enumerate(packed):
-            for t in p.split("\x01"):
-                k = ids.get(t)
-                if k is not None:
-                    flat.append(k)
-                    owner.append(i)
-        out = np.zeros((len(packed), vec.shape[1]), np.float32)
-        if flat:
-            own = np.asarray(owner)
-            starts = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
-            out[own[starts]] = np.add.reduceat(vec[flat] * w[flat, None], starts, axis=0)
-            n = np.linalg.norm(out, axis=1, keepdims=True)
-            out /= np.maximum(n, 1e-9)
+        """Unit vectors of clauses: the weighted sums of their terms' vectors, added term position by term position."""
+        ids, vec = (self.a_ids, self._scaled("a")) if side == "a" else (self.b_ids, self._scaled("b"))
+        get = ids.get
+        found = [[k for t in p.split("\x01") if (k := get(t)) is not None] for p in packed]
+        lens = np.fromiter(map(len, found), np.int64, len(found))
+        flat = np.fromiter((k for f in found for k in f), np.int64, int(lens.sum()))
+        at = np.cumsum(lens) - lens
+        order = np.argsort(-lens, kind="stable")
+        at, lens = at[order], lens[order]
+        acc = np.zeros((len(packed), vec.shape[1]), np.float32)
+        for t in range(int(lens[0]) if len(lens) else 0):
+            n = int(np.searchsorted(-lens, -t, side="left"))
+            acc[:n] += vec[flat[at[:n] + t]]
+        acc /= np.maximum(np.sqrt(np.einsum("ij,ij->i", acc, acc)), 1e-9)[:, None]
+        out = np.empty_like(acc)
+        out[order] = acc
         return out
 
+    def _scaled(self, side: str) -> np.ndarray:
+        if not hasattr(self, "_both"):
+            self._both = {"a": self.u * self.a_w[:, None], "b": self.v * self.b_w[:, None]}
+        return self._both[side]
 
-def _pairs_of(batch: dict, vectors: Vectors | None):
-    """Term lists that belong together: whole documents in the first round, paired sentences afterwards."""
+
+def _paired(prepared: DataFrame, vectors: Vectors | None) -> DataFrame:
+    """x, y: term lists that belong together, whole documents in the first round, paired sentences afterwards."""
     if vectors is None:
-        for x, y in zip(batch["a_terms"], batch["b_terms"]):
-            yield "\x01".join(x), "\x01".join(y)
-    else:
-        for x, y, links in zip(batch["a_terms"], batch["b_terms"], _align_batch(batch, vectors)):
-            for i, j, s in links:
-                if s > JOIN:
-                    yield x[i], y[j]
+        return prepared.select(F.array_join("a_terms", "\x01").alias("x"), F.array_join("b_terms", "\x01").alias("y"))
+    v = prepared.sparkSession.sparkContext.broadcast(vectors)
+
+    def run(batches):
+        for batch in batches:
+            d, xs, ys = batch.to_pydict(), [], []
+            for x, y, links in zip(d["a_terms"], d["b_terms"], _align_batch(d, v.value)):
+                for i, j, s in links:
+                    xs.append(x[i])
+                    ys.append(y[j])
+            yield pa.RecordBatch.from_arrays([pa.array(xs, pa.string()), pa.array(ys, pa.string())], names=["x", "y"])
+
+    return cut(prepared.select("a_terms", "a_same", "b_terms", "b_same").mapInArrow(run, "x string, y string"))
 
 
-def _sketch(prepared: DataFrame, model: Vectors, vectors: Vectors | None, right: np.ndarray, transpose: bool, shape: tuple[int, int]) -> np.ndarray:
+def _sketch(pairs: DataFrame, model: Vectors, right: np.ndarray, transpose: bool, shape: tuple[int, int]) -> np.ndarray:
     """C @ right (or C.T @ right) for the centred, scaled cross-covariance C of the paired term lists."""
     rows, k = shape[1] if transpose else shape[0], right.shape[1]
-    sc = prepared.sparkSession.sparkContext
-    b = sc.broadcast((model.a_ids, model.b_ids, vectors, right.astype(np.float32)))
+    sc = pairs.sparkSession.sparkContext
+    b = sc.broadcast((model.a_ids, model.b_ids, right.astype(np.float32)))
 
     def run(batches):
-        a_ids, b_ids, vec, r = b.value
+        a_ids, b_ids, r = b.value
         ia, ib = (b_ids, a_ids) if transpose else (a_ids, b_ids)
         acc = np.zeros((rows, k))
         left_sum, proj_sum, n = np.zeros(rows), np.zeros(k), 0
         for batch in batches:
             xs, own_x, ys, own_y, m = [], [], [], [], 0
-            for x, y in _pairs_of(batch.to_pydict(), vec):
-                if transpose:
-                    x, y = y, x
+            both = [c.to_pylist() for c in batch.columns]
+            for x, y in zip(*(both[::-1] if transpose else both)):
                 tx = {ia[t] for t in x.split("\x01") if t in ia}
                 ty = {ib[t] for t in y.split("\x01") if t in ib}
                 if tx and ty:
@@ -169,7 +180,7 @@ def _sketch(prepared: DataFrame, model: Vectors, vectors: Vectors | None, right:
                 "n": pa.array(np.concatenate((left_sum, [float(n)]))),
                 "x": pa.array(list(np.vstack((acc, proj_sum)).astype(np.float64)), pa.list_(pa.float64()))})
 
-    cols = prepared.select("a_terms", "a_same", "b_terms", "b_same").mapInArrow(run, "row int, n double, x array<double>")
+    cols = pairs.select("x", "y").mapInArrow(run, "row int, n double, x array<double>")
     total = cols.groupBy("row").agg(F.sum("n").alias("n"), F.array(*[F.sum(F.col("x")[i]) for i in range(k)]).alias("x"))
     pdf = total.toPandas().sort_values("row")
     if not len(pdf):
@@ -197,10 +208,11 @@ def learn_vectors(prepared: DataFrame, rounds: int = 2, rank: int = RANK, floor:
     shape, k = (len(a), len(b)), min(rank, len(a), len(b))
     vectors = None
     for _ in range(rounds):
+        pairs = _paired(prepared, vectors)
         omega = np.random.default_rng(seed).standard_normal((shape[1], k))
-        y = sa[:, None] * _sketch(prepared, base, vectors, sb[:, None] * omega, False, shape)
+        y = sa[:, None] * _sketch(pairs, base, sb[:, None] * omega, False, shape)
         q, _ = np.linalg.qr(y)
-        bt = sb[:, None] * _sketch(prepared, base, vectors, sa[:, None] * q, True, shape)
+        bt = sb[:, None] * _sketch(pairs, base, sa[:, None] * q, True, shape)
         uu, ss, vt = np.linalg.svd(bt.T, full_matrices=False)
         new = Vectors(base.a_ids, base.b_ids, wa, wb)
         root = np.sqrt(np.maximum(ss, 0))
@@ -213,18 +225,36 @@ def learn_vectors(prepared: DataFrame, rounds: int = 2, rank: int = RANK, floor:
     return vectors
 
 
-def _same(x: str, y: str) -> float:
+def _add_same(s: np.ndarray, xs: list[str], ys: list[str]) -> None:
     """Agreement of numbers and names: shared ones count for, numbers without a like count against."""
-    if not x or not y:
-        return 0.0
-    xs, ys = set(x.split("\x01")), set(y.split("\x01"))
-    hit = xs & ys
-    score = 0.35 * sum(1 for h in hit if not h[0].isdigit()) + 0.3 * sum(1 for h in hit if h[0].isdigit())
-    nx, ny = [float(w) for w in xs - hit if re.fullmatch(r"\d+(?:\.\d+)?", w)], [float(w) for w in ys - hit if re.fullmatch(r"\d+(?:\.\d+)?", w)]
-    for p in nx:
-        near = [q for q in ny if abs(p - q) <= max(1.0, 0.03 * p) and p > 9]
-        score += 0.2 if near else (-0.1 if ny else 0.0)
-    return max(-0.3, min(0.7, score))
+    mine = [set(x.split("\x01")) if x else () for x in xs]
+    every = set().union(*mine)
+    if not every:
+        return
+    where: dict[str, list[int]] = {}
+    nums: list[tuple[int, list[float]]] = []
+    for c, y in enumerate(ys):
+        words = y.split("\x01")
+        for w in every.intersection(words):
+            where.setdefault(w, []).append(c)
+        n = [float(w) for w in words if w and w[0].isdigit() and w.count(".") < 2]
+        if n:
+            nums.append((c, n))
+    for r, ws in enumerate(mine):
+        add: dict[int, float] = {}
+        for w in ws:
+            digit = w[0].isdigit()
+            for c in where.get(w, ()):
+                add[c] = add.get(c, 0.0) + (0.3 if digit else 0.35)
+            if digit and w.count(".") < 2:
+                p = float(w)
+                near = max(1.0, 0.03 * p)
+                for c, ns in nums:
+                    if p not in ns:
+                        like = p > 9 and min([abs(p - q) for q in ns]) <= near
+                        add[c] = add.get(c, 0.0) + (0.2 if like else -0.1)
+        for c, v in add.items():
+            s[r, c] += max(-0.3, min(0.7, v))
 
 
 def _align_batch(d: dict, vec: Vectors) -> list[list[tuple[int, int, float]]]:
@@ -238,11 +268,7 @@ def _align_batch(d: dict, vec: Vectors) -> list[list[tuple[int, int, float]]]:
             out.append([])
             continue
         s = p @ q.T
-        for r, u in enumerate(xs):
-            if u:
-                for c, v in enumerate(ys):
-                    if v:
-                        s[r, c] += _same(u, v)
+        _add_same(s, xs, ys)
         m = s - 0.25 * (s.mean(axis=1, keepdims=True) + s.mean(axis=0, keepdims=True))
         best_b, best_a = m.argmax(axis=1), m.argmax(axis=0)
         links = [(r, int(c), float(m[r, c])) for r, c in enumerate(best_b) if best_a[c] == r and m[r, c] > THRESHOLD]
