@@ -23,7 +23,7 @@ articleInfo struct<`_article-id`:string,`article-categories`:string,`article-reg
 
 def xml_total(c) -> Column:
     """Number of hits that a response page states; 0 if it is missing or no number."""
-    return F.coalesce(X.safe_int(F.xpath_string(X.col(c), F.lit("//result/total"))), F.lit(0))
+    return F.coalesce(X.safe_int(F.regexp_extract(X.col(c), r"(?s)<result\b.*?<total>(.*?)</total>", 1)), F.lit(0))
 
 
 def xml_page_records(pages: DataFrame, column: str = "xml") -> DataFrame:
