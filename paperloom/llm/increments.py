@@ -3,11 +3,11 @@
 Every record becomes a vector (signed feature hashing of its place, names, identifiers and title q-grams) and a row of exact
 features.  History is cut into segments of about SHARD_SIZE records; each gets a navigable small-world graph: near
 neighbours, their reverse links and a few long-range links.  A batch is indexed as a shard of its own and searched with a beam
-in every shard; the beam is widened until its recall against exhaustive search on probe queries reaches TARGET.  What the beam finds
+in every shard; when a shard is built, its beam is widened until its recall against exhaustive search on retyped members reaches TARGET.  What the beam finds
 is reranked with the exact features, which the shard holds too, so history's records are never read again.  After
 COMPACT_EVERY batches the small shards are merged and their graphs rebuilt.
 
-Scale.  Building is linear in the history (neighbours are sought within a shard of bounded size), searching is one row per
+Scale.  Building is linear in the history (neighbours are sought in cells of bounded size), searching is one row per
 (shard, block of queries), joined on the shard's number.  Exact copies share one node, so hot groups of copies do not clot a
 graph.  Shards are tables in the shared checkpoint folder: a lost executor costs a re-run of its tasks.
 """
@@ -27,8 +27,9 @@ from pyspark.sql import functions as F
 from paperloom.llm.linkage import clean_title, families, part_number, qgram_bits
 from paperloom.session import cut, ensure_checkpoint_dir
 
-DIM, SHARD_SIZE, BLOCK, NEAR, FAR = 96, 4096, 2048, 12, 4
-BEAM, TARGET, TOP, PROBES, MAX_BEAM = 24, 0.98, 6, 64, 512
+DIM, SHARD_SIZE, BLOCK, NEAR, BACK, FAR = 96, 32768, 2048, 12, 28, 4
+CELL, DIVISIONS = 1024, 3
+BEAM, TARGET, PROBE_EVERY, MAX_PROBES, MAX_BEAM, OPEN = 32, 0.99, 32, 512, 1024, 4
 COMPACT_EVERY = 5
 TAGS = re.compile(r"^\W*(정정|토론|논평|반론|회신|정오표|서평|correction|corrigendum|erratum|discussion|comment|reply|response)\b|[\[(](정정|토론|논평|반론|회신|정오표|correction|corrigendum|erratum|discussion|comment|reply|response)[\])]", re.IGNORECASE)
 _HANGUL = re.compile("[가-힣]")
@@ -42,13 +43,24 @@ def _h(s: str | None) -> int:
     return (zlib.crc32(s.encode()) << 31 | zlib.adler32(s[::-1].encode())) or 1
 
 
-def _add(v: np.ndarray, token: str, weight: float) -> None:
-    h = zlib.crc32(token.encode())
-    g = zlib.crc32(token[::-1].encode(), h)
-    for k in range(8):
-        x = (h + k * g) & 0xFFFFFFFF
-        x = (x ^ (x >> 15)) * 0x2C1B3C6D & 0xFFFFFFFF
-        v[(x >> 8) % DIM] += weight if x & 0x80000000 else -weight
+_signs: dict[str, np.ndarray] = {}
+
+
+def _signed(token: str) -> np.ndarray:
+    """Eight signed places of a token, as a row of DIM."""
+    v = _signs.get(token)
+    if v is None:
+        if len(_signs) > 200_000:
+            _signs.clear()
+        v = np.zeros(DIM, np.float32)
+        h = zlib.crc32(token.encode())
+        g = zlib.crc32(token[::-1].encode(), h)
+        for k in range(8):
+            x = (h + k * g) & 0xFFFFFFFF
+            x = (x ^ (x >> 15)) * 0x2C1B3C6D & 0xFFFFFFFF
+            v[(x >> 8) % DIM] += 1 if x & 0x80000000 else -1
+        _signs[token] = v
+    return v
 
 
 def encode_record(r: dict) -> tuple[bytes, bytes, bytes]:
@@ -73,15 +85,19 @@ def encode_record(r: dict) -> tuple[bytes, bytes, bytes]:
     tag = f"{part}|{kind.get(word, word)}|{year[0] if year else ''}"
     k, e = clean_title(kor).replace(" ", ""), clean_title(eng).replace(" ", "")
     v = np.zeros(DIM, np.float32)
-    for t, w in ((sid and "s" + sid, 2.0), (doi and "d" + doi, 1.0), (f"p{journal}|{vol}|{first}" if first and vol else "", 2.0), (f"q{vol}|{first}|{last}" if first and last else "", 2.0), (f"r{journal}|{first}|{last}" if first and last else "", 1.5)):
+    # from coarse to fine, so that a search can approach: records of one journal, then of its volume, then of the place
+    for t, w in (
+        (journal and "j" + journal, 1.5), (vol and "v" + vol, 1.0), (vol and journal and f"jv{journal}|{vol}", 1.2), (num and f"n{vol}|{num}", 0.6),
+        (first and "f" + first, 1.2), (last and "l" + last, 1.2), (first and vol and f"p{vol}|{first}", 1.2), (sid and "s" + sid, 1.5), (doi and "d" + doi, 0.7),
+    ):
         if t:
-            _add(v, t, w)
+            v += w * _signed(t)
     for name in (sure or may)[:8]:
-        _add(v, "a" + name, 1.2 / len((sure or may)[:8]) ** 0.5)
+        v += 1.2 / len((sure or may)[:8]) ** 0.5 * _signed("a" + name)
     for lang, s in (("k", k), ("e", e)):
         grams = {s[i : i + 3] for i in range(len(s) - 2)}
-        for g in sorted(grams):
-            _add(v, lang + g, 2.0 / len(grams) ** 0.5)
+        if grams:
+            v += 1.6 / len(grams) ** 0.5 * np.add.reduce([_signed(lang + g) for g in sorted(grams)])
     n = np.linalg.norm(v)
     v /= n if n else 1.0
     feats = np.array([_h(sid), _h(doi), _h(journal), _h(vol), _h(num), _h(first), _h(last), _h(tag), (1 if k else 0) | (2 if e else 0)], np.int64)
@@ -92,102 +108,167 @@ def encode_record(r: dict) -> tuple[bytes, bytes, bytes]:
 COLUMNS = ["source_id", "title", "title_kor", "title_eng", "doi", "authors_json", "journal_id", "issue_id", "first_page", "final_page"]
 
 
+ENCODED = "id bigint, vec binary, feat binary, bits binary, probe binary"
+
+
+def retyped(r: dict) -> dict:
+    """The record as it might come again: another id, no DOI, one title, a seventh of its letters gone."""
+    t = r["title_kor"] or r["title"] or r["title_eng"]
+    t = "".join(c for i, c in enumerate(t or "") if i % 7 != 3)
+    return r | {"source_id": None, "doi": None, "title": t, "title_kor": None, "title_eng": None}
+
+
 def encode(df: DataFrame) -> DataFrame:
+    """Encoded records; of one in PROBE_EVERY also the vector of a retyped version, against which beams are tuned."""
+
     def run(batches):
         for b in batches:
             d = b.to_pylist()
             e = [encode_record(r) for r in d]
+            probe = [encode_record(retyped(r))[0] if zlib.crc32(str(r["id"]).encode()) % PROBE_EVERY == 0 else None for r in d]
             yield pa.RecordBatch.from_pydict({
                 "id": pa.array([r["id"] for r in d], pa.int64()),
-                **{n: pa.array([x[i] for x in e], pa.binary()) for i, n in enumerate(("vec", "feat", "bits"))}})
+                **{n: pa.array([x[i] for x in e], pa.binary()) for i, n in enumerate(("vec", "feat", "bits"))}, "probe": pa.array(probe, pa.binary())})
 
-    return df.select(F.col("id").cast("bigint"), *COLUMNS).mapInArrow(run, "id bigint, vec binary, feat binary, bits binary")
+    return df.select(F.col("id").cast("bigint"), *COLUMNS).mapInArrow(run, ENCODED)
 
 
 # --- one shard -------------------------------------------------------------------------------------------------------
 
 
+def _leaves(x: np.ndarray, rng: np.random.Generator, size: int) -> list[np.ndarray]:
+    """Cells of at most ``size`` members: halved at the median of the difference of two members, again and again."""
+    out, todo = [], [np.arange(len(x))]
+    while todo:
+        c = todo.pop()
+        if len(c) <= size:
+            out.append(c)
+            continue
+        p, q = rng.choice(c, 2, replace=False)
+        side = x[c] @ (x[p] - x[q])
+        order = np.argsort(side, kind="stable")
+        half = len(c) // 2
+        todo += [c[order[:half]], c[order[half:]]]
+    return out
+
+
 def build_graph(x: np.ndarray, seed: int) -> np.ndarray:
-    """Links of each node: NEAR nearest, reverse links in the free places, FAR random ones; -1 where there is none."""
+    """Links of each node: NEAR nearest of several random divisions into cells, reverse links, FAR random ones; -1: none.
+
+    No node is linked twice from one node.  Work is linear in the shard: every node meets CELL others per division.
+    """
     n = len(x)
-    width = 2 * NEAR + FAR
+    width = NEAR + BACK + FAR
     links = np.full((n, width), -1, np.int32)
+    if n < 2:
+        return links
     rng = np.random.default_rng(seed)
-    if n > 1:
-        k = min(NEAR, n - 1)
-        for at in range(0, n, 1024):
-            s = x[at : at + 1024] @ x.T
-            s[np.arange(len(s)), np.arange(at, at + len(s))] = -2
-            links[at : at + 1024, :k] = np.argpartition(-s, k - 1, axis=1)[:, :k]
-        links[:, 2 * NEAR :] = rng.integers(0, n, (n, FAR))
-        src, dst = np.repeat(np.arange(n), k), links[:, :k].ravel()
-        order = np.argsort(dst, kind="stable")
-        src, dst = src[order], dst[order]
-        rank = np.arange(len(dst)) - np.searchsorted(dst, dst)
-        keep = rank < NEAR
-        links[dst[keep], NEAR + rank[keep]] = src[keep]
-    return links
+    k = min(NEAR, n - 1)
+    best = np.full((n, k), -1, np.int64)
+    sims = np.full((n, k), -3.0, np.float32)
+    for _ in range(1 if n <= CELL else DIVISIONS):
+        for c in _leaves(x, rng, CELL):
+            s = x[c] @ x[c].T
+            np.fill_diagonal(s, -3)
+            m = min(k, len(c) - 1)
+            if m < 1:
+                continue
+            top = np.argpartition(-s, m - 1, axis=1)[:, :m]
+            ids = np.concatenate((best[c], c[top]), axis=1)
+            val = np.concatenate((sims[c], np.take_along_axis(s, top, 1)), axis=1)
+            # a neighbour that was found before counts once
+            order = np.lexsort((-val, ids), axis=1)
+            ids, val = np.take_along_axis(ids, order, 1), np.take_along_axis(val, order, 1)
+            val[:, 1:][ids[:, 1:] == ids[:, :-1]] = -3.0
+            order = np.argsort(-val, axis=1, kind="stable")[:, :k]
+            best[c], sims[c] = np.take_along_axis(ids, order, 1), np.take_along_axis(val, order, 1)
+    best[sims <= -3] = -1
+    links[:, :k] = best
+    src, dst = np.repeat(np.arange(n), k), best.ravel()
+    ok = dst >= 0
+    src, dst = src[ok], dst[ok]
+    # places for links back go first to the nodes that few others link to, so that each can be reached
+    liked = np.bincount(dst, minlength=n)
+    order = np.lexsort((liked[src], dst))
+    src, dst = src[order], dst[order]
+    rank = np.arange(len(dst)) - np.searchsorted(dst, dst)
+    keep = rank < BACK
+    links[dst[keep], NEAR + rank[keep]] = src[keep]
+    links[:, NEAR + BACK :] = rng.integers(0, n, (n, FAR))
+    order = np.sort(links, axis=1)
+    dup = np.zeros_like(links, bool)
+    dup[:, 1:] = order[:, 1:] == order[:, :-1]
+    order[dup] = -1
+    return order
 
 
 def beam_search(x: np.ndarray, links: np.ndarray, q: np.ndarray, beam: int, entries: np.ndarray) -> np.ndarray:
-    """Best nodes of each query found with a beam: len(q) x beam node numbers (-1: none), best first."""
+    """Best nodes of each query found with a beam: len(q) x beam node numbers (-1: none), best first.
+
+    All queries advance together; each step opens the OPEN best nodes of every beam that are not open yet.
+    """
     m, n = len(q), len(x)
-    beam = min(beam, n)
+    beam = min(max(beam, 1), n)
     seen = np.zeros((m, n), bool)
     ids = np.full((m, beam), -1, np.int64)
     sims = np.full((m, beam), -3.0, np.float32)
     opened = np.ones((m, beam), bool)
-    start = entries[:beam]
-    ids[:, : len(start)] = start
-    sims[:, : len(start)] = q @ x[start].T
-    opened[:, : len(start)] = False
-    seen[:, start] = True
-    order = np.argsort(-sims, axis=1, kind="stable")
-    ids, sims, opened = (np.take_along_axis(a, order, 1) for a in (ids, sims, opened))
-    rows = np.arange(m)
-    live = rows
+    # the upper layer: a thin sample of the shard, of which each query starts at the best
+    first = q @ x[entries].T
+    w = min(beam, len(entries), 8)
+    order = np.argsort(-first, axis=1, kind="stable")[:, :w]
+    ids[:, :w], sims[:, :w], opened[:, :w] = entries[order], np.take_along_axis(first, order, 1), False
+    seen[np.arange(m)[:, None], ids[:, :w]] = True
+    live = np.arange(m)
+    width = min(OPEN, beam)
     while len(live):
         closed = opened[live]
-        pick = closed.argmin(axis=1)
-        todo = ~closed[np.arange(len(live)), pick]
-        live, pick = live[todo], pick[todo]
+        todo = ~closed.all(axis=1)
+        live, closed = live[todo], closed[todo]
         if not len(live):
             break
-        opened[live, pick] = True
-        nb = links[ids[live, pick]]
-        ok = nb >= 0
-        nb = np.where(ok, nb, 0)
-        ok &= ~seen[live[:, None], nb]
-        seen[live[:, None], nb] |= ok
-        s = np.einsum("md,mkd->mk", q[live], x[nb]).astype(np.float32)
-        s[~ok] = -3.0
-        # a node that is linked twice from here counts once
-        srt = np.sort(np.where(ok, nb, -np.arange(1, nb.shape[1] + 1)), axis=1)
-        if (srt[:, 1:] == srt[:, :-1]).any():
-            for i in np.flatnonzero((srt[:, 1:] == srt[:, :-1]).any(axis=1)):
-                _, first = np.unique(nb[i], return_index=True)
-                dup = np.ones(nb.shape[1], bool)
-                dup[first] = False
-                s[i, dup] = -3.0
-        a_ids = np.concatenate((ids[live], np.where(s > -2.5, nb, -1)), axis=1)
-        a_sims = np.concatenate((sims[live], s), axis=1)
-        a_open = np.concatenate((opened[live], s <= -2.5), axis=1)
+        # rows are sorted, so the first unopened columns are the best
+        pick = np.argsort(closed, axis=1, kind="stable")[:, :width]
+        valid = ~np.take_along_axis(closed, pick, 1)
+        rows = live[:, None]
+        opened[rows, pick] = True
+        nb = links[np.where(valid, ids[rows, pick], 0)]
+        nb = np.where(valid[:, :, None], nb, -1).reshape(len(live), -1)
+        safe = np.maximum(nb, 0)
+        fresh = (nb >= 0) & ~seen[rows, safe]
+        r, c = np.nonzero(fresh)
+        node = safe[r, c]
+        # two opened nodes may share a neighbour: the first stays
+        key = r * np.int64(n) + node
+        _, one = np.unique(key, return_index=True)
+        r, node = r[one], node[one]
+        if not len(r):
+            continue
+        seen[live[r], node] = True
+        val = np.einsum("ij,ij->i", q[live[r]], x[node])
+        counts = np.bincount(r, minlength=len(live))
+        most = int(counts.max())
+        pos = np.arange(len(r)) - np.repeat(np.cumsum(counts) - counts, counts)
+        new_ids = np.full((len(live), most), -1, np.int64)
+        new_sims = np.full((len(live), most), -3.0, np.float32)
+        new_ids[r, pos], new_sims[r, pos] = node, val
+        a_ids = np.concatenate((ids[live], new_ids), axis=1)
+        a_sims = np.concatenate((sims[live], new_sims), axis=1)
+        a_open = np.concatenate((opened[live], new_ids < 0), axis=1)
         order = np.argsort(-a_sims, axis=1, kind="stable")[:, :beam]
         ids[live], sims[live], opened[live] = (np.take_along_axis(a, order, 1) for a in (a_ids, a_sims, a_open))
-        opened[live] |= ids[live] < 0
     return ids
 
 
-def tuned_beam(x: np.ndarray, links: np.ndarray, q: np.ndarray, entries: np.ndarray) -> int:
-    """The first beam of BEAM, 2 BEAM, … whose TOP results on probe queries agree with exhaustive search to TARGET."""
-    probe = q[:: max(1, len(q) // PROBES)][:PROBES]
-    k = min(TOP, len(x))
-    truth = np.sort(-(probe @ x.T), axis=1)[:, :k]
+def tuned_beam(x: np.ndarray, links: np.ndarray, probe: np.ndarray, entries: np.ndarray) -> int:
+    """The first beam of BEAM, 2 BEAM, … that finds what exhaustive search finds, for TARGET of the probes."""
     beam = BEAM
+    if not len(probe):
+        return 2 * beam
+    truth = (probe @ x.T).max(axis=1)
     while True:
-        got = beam_search(x, links, probe, beam, entries)[:, :k]
-        sims = np.where(got >= 0, np.einsum("md,mkd->mk", probe, x[np.maximum(got, 0)]), -3)
-        recall = float((sims >= -truth[:, [-1]] - 1e-5).mean())
+        got = beam_search(x, links, probe, beam, entries)[:, 0]
+        recall = float((np.einsum("md,md->m", probe, x[got]) >= truth - 1e-5).mean())
         if recall >= TARGET or beam >= min(MAX_BEAM, len(x)):
             return beam
         beam *= 2
@@ -202,13 +283,17 @@ def _unpack(b: bytes):
     n = int(np.frombuffer(b, np.int64, 1)[0])
     at = 8
     out = []
-    for t, w in ((np.int64, 1), (np.float32, DIM), (np.int64, len(FEATS)), (np.int64, 20), (np.int32, 2 * NEAR + FAR)):
+    for t, w in ((np.int64, 1), (np.float32, DIM), (np.int64, len(FEATS)), (np.int64, 20), (np.int32, NEAR + BACK + FAR)):
         size = n * w * np.dtype(t).itemsize
         out.append(np.frombuffer(b, t, n * w, at).reshape(n, w) if w > 1 else np.frombuffer(b, t, n, at))
         at += size
     return out
 
 
+def _entries(n: int) -> np.ndarray:
+    return np.unique(np.linspace(0, n - 1, max(16, int(3 * n**0.5))).astype(np.int64))
+
+
 def _shard(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf.sort_values("id")
     # exact copies share the node of the smallest id
@@ -216,8 +301,11 @@ def _shard(pdf: pd.DataFrame) -> pd.DataFrame:
     vec = np.frombuffer(b"".join(pdf["vec"]), np.float32).reshape(-1, DIM)
     feat = np.frombuffer(b"".join(pdf["feat"]), np.int64).reshape(-1, len(FEATS))
     bits = np.frombuffer(b"".join(pdf["bits"]), np.int64).reshape(-1, 20)
-    data = _pack(pdf["id"].to_numpy(), vec, feat, bits, build_graph(vec, 17))
-    return pd.DataFrame({"shard": [int(pdf["shard"].iloc[0])], "n": [len(pdf)], "data": [data]})
+    links = build_graph(vec, 17)
+    probes = [p for p in pdf["probe"] if p is not None][:MAX_PROBES]
+    beam = tuned_beam(vec, links, np.frombuffer(b"".join(probes), np.float32).reshape(-1, DIM), _entries(len(vec)))
+    data = _pack(pdf["id"].to_numpy(), vec, feat, bits, links)
+    return pd.DataFrame({"shard": [int(pdf["shard"].iloc[0])], "n": [len(pdf)], "beam": [beam], "data": [data], "probes": [list(pdf["probe"])]})
 
 
 # --- exact comparison ------------------------------------------------------------------------------------------------
@@ -278,7 +366,7 @@ class ShardedIndex:
         base, self.made = self.made * 1_000_000, self.made + 1
         keyed = rows.withColumn("shard", F.lit(base) + F.pmod(F.xxhash64("id"), F.lit(shards)))
         folder = f"{self.path}/part-{self.made}"
-        keyed.groupBy("shard").applyInPandas(_shard, "shard bigint, n bigint, data binary").write.mode("overwrite").parquet(folder)
+        keyed.groupBy("shard").applyInPandas(_shard, "shard bigint, n bigint, beam int, data binary, probes array<binary>").write.mode("overwrite").parquet(folder)
         self.parts.append((folder, n, shards))
 
     def add(self, encoded: DataFrame, n: int | None = None) -> None:
@@ -294,13 +382,14 @@ class ShardedIndex:
 
         def rows(batches):
             for b in batches:
-                for data in b.column("data").to_pylist():
+                for data, probes in zip(b.column("data").to_pylist(), b.column("probes").to_pylist()):
                     ids, vec, feat, bits, _ = _unpack(data)
                     yield pa.RecordBatch.from_pydict({
                         "id": pa.array(ids), "vec": pa.array([v.tobytes() for v in vec], pa.binary()),
-                        "feat": pa.array([v.tobytes() for v in feat], pa.binary()), "bits": pa.array([v.tobytes() for v in bits], pa.binary())})
+                        "feat": pa.array([v.tobytes() for v in feat], pa.binary()), "bits": pa.array([v.tobytes() for v in bits], pa.binary()),
+                        "probe": pa.array(probes, pa.binary())})
 
-        merged = self.spark.read.parquet(*[p[0] for p in small]).mapInArrow(rows, "id bigint, vec binary, feat binary, bits binary")
+        merged = self.spark.read.parquet(*[p[0] for p in small]).mapInArrow(rows, ENCODED)
         self.parts = [p for p in self.parts if p not in small]
         self._write(merged, sum(p[1] for p in small))
 
@@ -314,16 +403,15 @@ class ShardedIndex:
 
         def run(batches):
             for b in batches:
-                for qs, data in zip(b.column("qs").to_pylist(), b.column("data").to_pylist()):
+                for qs, beam, data in zip(*(b.column(k).to_pylist() for k in ("qs", "beam", "data"))):
                     ids, x, feat, bits, links = _unpack(data)
+                    entries = _entries(len(x))
                     qid = np.array([r["id"] for r in qs])
                     qv = np.frombuffer(b"".join(r["vec"] for r in qs), np.float32).reshape(-1, DIM)
                     qf = np.frombuffer(b"".join(r["feat"] for r in qs), np.int64).reshape(-1, len(FEATS))
                     qb = np.frombuffer(b"".join(r["bits"] for r in qs), np.int64).reshape(-1, 20)
-                    entries = np.unique(np.linspace(0, len(x) - 1, 8).astype(np.int64))
-                    beam = tuned_beam(x, links, qv, entries)
                     for at in range(0, len(qv), 512):
-                        got = beam_search(x, links, qv[at : at + 512], beam, entries)[:, : max(TOP, beam // 2)]
+                        got = beam_search(x, links, qv[at : at + 512], beam, entries)
                         r, c = np.nonzero(got >= 0)
                         node, r = got[r, c], r + at
                         ok = ids[node] < qid[r]
@@ -332,7 +420,7 @@ class ShardedIndex:
                         k = s >= 0
                         yield pa.RecordBatch.from_pydict({"new_id": pa.array(qid[r[k]]), "old_id": pa.array(ids[node[k]]), "score": pa.array(s[k])})
 
-        return pairs.select("qs", "data").mapInArrow(run, "new_id bigint, old_id bigint, score double")
+        return pairs.select("qs", "beam", "data").mapInArrow(run, "new_id bigint, old_id bigint, score double")
 
     def _ids(self) -> list[int]:
         return [(int(folder.rsplit("-", 1)[1]) - 1) * 1_000_000 + i for folder, _, k in self.parts for i in range(k)]
