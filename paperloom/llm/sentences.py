@@ -14,6 +14,7 @@ small integer lists; each document is aligned on its own.
 from __future__ import annotations
 
 import re
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -88,6 +89,20 @@ def _prepare(df: DataFrame, id_col: str, a: str, b: str) -> DataFrame:
     return both.mapInArrow(run, "id bigint, a_no array<int>, a_terms array<string>, a_same array<string>, b_no array<int>, b_terms array<string>, b_same array<string>")
 
 
+def segment_sums(rows: np.ndarray, flat: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """Sums of rows[flat] over consecutive segments, added position by position, long segments first."""
+    at = np.cumsum(lens) - lens
+    order = np.argsort(-lens, kind="stable")
+    at, lens = at[order], lens[order]
+    acc = np.zeros((len(lens), rows.shape[1]), rows.dtype)
+    for t in range(int(lens[0]) if len(lens) else 0):
+        n = int(np.searchsorted(-lens, -t, side="left"))
+        acc[:n] += rows[flat[at[:n] + t]]
+    out = np.empty_like(acc)
+    out[order] = acc
+    return out
+
+
 class Vectors:
     """Term vectors of the two sides, in one space."""
 
@@ -96,22 +111,14 @@ class Vectors:
         self.u = self.v = None
 
     def clause_matrix(self, side: str, packed: list[str]) -> np.ndarray:
-        """Unit vectors of clauses: the weighted sums of their terms' vectors, added term position by term position."""
+        """Unit vectors of clauses: the weighted sums of their terms' vectors."""
         ids, vec = (self.a_ids, self._scaled("a")) if side == "a" else (self.b_ids, self._scaled("b"))
         get = ids.get
         found = [[k for t in p.split("\x01") if (k := get(t)) is not None] for p in packed]
         lens = np.fromiter(map(len, found), np.int64, len(found))
         flat = np.fromiter((k for f in found for k in f), np.int64, int(lens.sum()))
-        at = np.cumsum(lens) - lens
-        order = np.argsort(-lens, kind="stable")
-        at, lens = at[order], lens[order]
-        acc = np.zeros((len(packed), vec.shape[1]), np.float32)
-        for t in range(int(lens[0]) if len(lens) else 0):
-            n = int(np.searchsorted(-lens, -t, side="left"))
-            acc[:n] += vec[flat[at[:n] + t]]
-        acc /= np.maximum(np.sqrt(np.einsum("ij,ij->i", acc, acc)), 1e-9)[:, None]
-        out = np.empty_like(acc)
-        out[order] = acc
+        out = segment_sums(vec, flat, lens)
+        out /= np.maximum(np.sqrt(np.einsum("ij,ij->i", out, out)), 1e-9)[:, None]
         return out
 
     def _scaled(self, side: str) -> np.ndarray:
@@ -120,65 +127,52 @@ class Vectors:
         return self._both[side]
 
 
-def _paired(prepared: DataFrame, vectors: Vectors | None) -> DataFrame:
-    """x, y: term lists that belong together, whole documents in the first round, paired sentences afterwards."""
-    if vectors is None:
-        return prepared.select(F.array_join("a_terms", "\x01").alias("x"), F.array_join("b_terms", "\x01").alias("y"))
-    v = prepared.sparkSession.sparkContext.broadcast(vectors)
+def _paired(prepared: DataFrame, model: Vectors, vectors: Vectors | None) -> DataFrame:
+    """x, y: distinct term numbers that belong together, of whole documents in the first round, of paired sentences afterwards."""
+    v = prepared.sparkSession.sparkContext.broadcast((model.a_ids, model.b_ids, vectors))
 
     def run(batches):
+        a_ids, b_ids, vec = v.value
         for batch in batches:
             d, xs, ys = batch.to_pydict(), [], []
-            for x, y, links in zip(d["a_terms"], d["b_terms"], _align_batch(d, v.value)):
-                for i, j, s in links:
-                    xs.append(x[i])
-                    ys.append(y[j])
-            yield pa.RecordBatch.from_arrays([pa.array(xs, pa.string()), pa.array(ys, pa.string())], names=["x", "y"])
+            for x, y, links in zip(d["a_terms"], d["b_terms"], _align_batch(d, vec) if vec else repeat(None)):
+                for p, q in [("\x01".join(x), "\x01".join(y))] if links is None else [(x[i], y[j]) for i, j, _ in links]:
+                    tx = {k for t in p.split("\x01") if (k := a_ids.get(t)) is not None}
+                    ty = {k for t in q.split("\x01") if (k := b_ids.get(t)) is not None}
+                    if tx and ty:
+                        xs.append(list(tx))
+                        ys.append(list(ty))
+            kind = pa.list_(pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(xs, kind), pa.array(ys, kind)], names=["x", "y"])
 
-    return cut(prepared.select("a_terms", "a_same", "b_terms", "b_same").mapInArrow(run, "x string, y string"))
+    return cut(prepared.select("a_terms", "a_same", "b_terms", "b_same").mapInArrow(run, "x array<int>, y array<int>"))
 
 
-def _sketch(pairs: DataFrame, model: Vectors, right: np.ndarray, transpose: bool, shape: tuple[int, int]) -> np.ndarray:
-    """C @ right (or C.T @ right) for the centred, scaled cross-covariance C of the paired term lists."""
+def _sketch(pairs: DataFrame, right: np.ndarray, transpose: bool, shape: tuple[int, int]) -> np.ndarray:
+    """C @ right (or C.T @ right) for the centred cross-covariance C of the paired term lists."""
     rows, k = shape[1] if transpose else shape[0], right.shape[1]
-    sc = pairs.sparkSession.sparkContext
-    b = sc.broadcast((model.a_ids, model.b_ids, right.astype(np.float32)))
+    b = pairs.sparkSession.sparkContext.broadcast(right.astype(np.float32))
 
     def run(batches):
-        a_ids, b_ids, r = b.value
-        ia, ib = (b_ids, a_ids) if transpose else (a_ids, b_ids)
-        acc = np.zeros((rows, k))
+        r = b.value
+        acc = np.zeros((k, rows))
         left_sum, proj_sum, n = np.zeros(rows), np.zeros(k), 0
         for batch in batches:
-            xs, own_x, ys, own_y, m = [], [], [], [], 0
-            both = [c.to_pylist() for c in batch.columns]
-            for x, y in zip(*(both[::-1] if transpose else both)):
-                tx = {ia[t] for t in x.split("\x01") if t in ia}
-                ty = {ib[t] for t in y.split("\x01") if t in ib}
-                if tx and ty:
-                    xs += tx
-                    own_x += [m] * len(tx)
-                    ys += ty
-                    own_y += [m] * len(ty)
-                    m += 1
-            if not m:
+            if not batch.num_rows:
                 continue
-            own_y = np.asarray(own_y)
-            starts = np.flatnonzero(np.concatenate(([True], own_y[1:] != own_y[:-1])))
-            z = np.add.reduceat(r[ys], starts, axis=0)
-            xs, own_x = np.asarray(xs), np.asarray(own_x)
-            order = np.argsort(xs, kind="stable")
-            xs, own_x = xs[order], own_x[order]
-            starts = np.flatnonzero(np.concatenate(([True], xs[1:] != xs[:-1])))
-            acc[xs[starts]] += np.add.reduceat(z[own_x], starts, axis=0)
-            left_sum[xs[starts]] += np.diff(np.concatenate((starts, [len(xs)])))
+            (xs, x_len), (ys, y_len) = ((c.flatten().to_numpy(), np.diff(c.offsets.to_numpy())) for c in (batch.columns[::-1] if transpose else batch.columns))
+            z = segment_sums(r, ys, y_len)
+            own = np.repeat(np.arange(len(x_len)), x_len)
+            for j, col in enumerate(np.ascontiguousarray(z.T)):
+                acc[j] += np.bincount(xs, weights=col[own], minlength=rows)
+            left_sum += np.bincount(xs, minlength=rows)
             proj_sum += z.sum(axis=0)
-            n += m
+            n += len(x_len)
         if n:
             yield pa.RecordBatch.from_pydict({
                 "row": pa.array(np.arange(rows + 1, dtype=np.int32)),
                 "n": pa.array(np.concatenate((left_sum, [float(n)]))),
-                "x": pa.array(list(np.vstack((acc, proj_sum)).astype(np.float64)), pa.list_(pa.float64()))})
+                "x": pa.array(list(np.vstack((acc.T, proj_sum))), pa.list_(pa.float64()))})
 
     cols = pairs.select("x", "y").mapInArrow(run, "row int, n double, x array<double>")
     total = cols.groupBy("row").agg(F.sum("n").alias("n"), F.array(*[F.sum(F.col("x")[i]) for i in range(k)]).alias("x"))
@@ -208,11 +202,11 @@ def learn_vectors(prepared: DataFrame, rounds: int = 2, rank: int = RANK, floor:
     shape, k = (len(a), len(b)), min(rank, len(a), len(b))
     vectors = None
     for _ in range(rounds):
-        pairs = _paired(prepared, vectors)
+        pairs = _paired(prepared, base, vectors)
         omega = np.random.default_rng(seed).standard_normal((shape[1], k))
-        y = sa[:, None] * _sketch(pairs, base, sb[:, None] * omega, False, shape)
+        y = sa[:, None] * _sketch(pairs, sb[:, None] * omega, False, shape)
         q, _ = np.linalg.qr(y)
-        bt = sb[:, None] * _sketch(pairs, base, sa[:, None] * q, True, shape)
+        bt = sb[:, None] * _sketch(pairs, sa[:, None] * q, True, shape)
         uu, ss, vt = np.linalg.svd(bt.T, full_matrices=False)
         new = Vectors(base.a_ids, base.b_ids, wa, wb)
         root = np.sqrt(np.maximum(ss, 0))
