@@ -17,7 +17,7 @@ from paperloom.operators import normalize as N
 from paperloom.operators.packed import split_packed
 from paperloom.plans import rules as R
 from paperloom.plans import slices as P
-from paperloom.session import table
+from paperloom.session import table, wide
 from paperloom.sources import records as S
 from paperloom.sources import store as T
 from paperloom.streaming import incremental as I
@@ -55,6 +55,14 @@ def papers(spark, d):
     return table(spark, d, "normalized_papers")
 
 
+MATCHED = ("ord", *C.TITLES, *C.ABSTRACTS, "keywords", *C.KEYWORD_TEXTS, "institution_id", "journal_id")
+
+
+def matched(spark, d):
+    """The columns that matching reads, on all cores."""
+    return wide(spark, d, "normalized_papers", *MATCHED)
+
+
 # --- normalizing ------------------------------------------------------------------------------------------------------
 
 
@@ -167,14 +175,14 @@ _TEXT = O.fold("text")
 
 @query("match_v1", "\nUNION ALL\n".join(f"SELECT {O.q(k)} AS keyword, count(*) AS n FROM documents WHERE contains({O.no_space(_TEXT)}, {O.q(''.join(k.split()))})" for k in RULES.keywords))
 def match_v1(spark, d):
-    t = table(spark, d, "documents").select(X.no_space(X.fold("text")).alias("t"))
+    t = wide(spark, d, "documents", "text").select(X.no_space(X.fold("text")).alias("t"))
     hit = F.array(*[F.struct(F.lit(k).alias("keyword"), F.col("t").contains("".join(k.casefold().split())).cast("bigint").alias("n")) for k in RULES.keywords])
     return t.select(F.inline(hit)).groupBy("keyword").agg(F.sum("n").alias("n"))
 
 
 @query("match_v3_proximity", f"SELECT doc_id, {O.keyword_in('memory dump', _TEXT, O.no_space(_TEXT))} AS dump, {O.keyword_in('court ruling', _TEXT, O.no_space(_TEXT))} AS ruling, {O.keyword_in('증거능력 판단 기준', _TEXT, O.no_space(_TEXT))} AS criterion FROM documents")
 def match_v3_proximity(spark, d):
-    x = table(spark, d, "documents").withColumn("t", X.fold("text")).withColumn("s", X.no_space("t"))
+    x = wide(spark, d, "documents", "doc_id", "text").withColumn("t", X.fold("text")).withColumn("s", X.no_space("t"))
     return x.select("doc_id", *[keyword_in(k, F.col("t"), F.col("s")).alias(n) for k, n in (("memory dump", "dump"), ("court ruling", "ruling"), ("증거능력 판단 기준", "criterion"))])
 
 
@@ -188,7 +196,7 @@ _CLASSIFIED = O.classified("normalized_papers", RULES)
 
 @query("classify_taxonomy", f"SELECT ord, categories, matched_keywords, relevance_reasons, relevance_score, is_relevant, match_field FROM ({_CLASSIFIED})")
 def classify_taxonomy(spark, d):
-    x = C.classify(papers(spark, d), RULES)
+    x = C.classify(matched(spark, d), RULES)
     return _flat(x.select("ord", "categories", "matched_keywords", "relevance_reasons", "relevance_score", "is_relevant", "match_field"))
 
 
@@ -198,7 +206,7 @@ _MEMBER = f"({O.fold(chr(99)+'oalesce(institution_id,' + O.q('') + ')')} LIKE '%
 @query("classify_breakdown", f"""
 SELECT CASE WHEN is_relevant THEN match_field ELSE 'journal' END AS match_field, count(*) AS n FROM ({_CLASSIFIED}) WHERE is_relevant OR {_MEMBER} GROUP BY 1""")
 def classify_breakdown(spark, d):
-    return C.breakdown(C.keep_relevant(C.classify(papers(spark, d), RULES), C.member(MEMBERS, MEMBER_JOURNALS)))
+    return C.breakdown(C.keep_relevant(C.classify(matched(spark, d), RULES), C.member(MEMBERS, MEMBER_JOURNALS)))
 
 
 @query("member_rows", f"SELECT ord FROM normalized_papers WHERE {_MEMBER}")
@@ -213,7 +221,7 @@ _ALL9 = O.fold("concat(" + ", ' ', ".join(f"coalesce({c}, '')" for c in (*C.TITL
 SELECT ord, concat_ws('|', CASE WHEN {O.keyword_in('압수 절차', 't', O.no_space('t'))} THEN '압수 절차' END, CASE WHEN {O.keyword_in('cloud store', 't', O.no_space('t'))} THEN 'cloud store' END) AS matched_keywords
 FROM (SELECT ord, {_ALL9} AS t FROM normalized_papers) WHERE {O.keyword_in('압수 절차', 't', O.no_space('t'))} OR {O.keyword_in('cloud store', 't', O.no_space('t'))}""")
 def extra_terms(spark, d):
-    p = papers(spark, d).withColumn("is_relevant", F.lit(False)).withColumn("keywords", F.coalesce("keywords", F.array().cast("array<string>")))
+    p = matched(spark, d).withColumns({"is_relevant": F.lit(False), "relevance_score": F.lit(0.0), **{c: F.array().cast("array<string>") for c in ("categories", "matched_keywords", "relevance_reasons")}}).withColumn("keywords", F.coalesce("keywords", F.array().cast("array<string>")))
     return _flat(C.extra_terms(p, ["압수 절차", "cloud store"], "extra").filter("is_relevant").select("ord", "matched_keywords"))
 
 
@@ -226,7 +234,7 @@ _RAW = f"{_weigh('title')} * 1.5 + {_weigh('abstract')} + {_weigh('array_to_stri
 
 @query("score_weighted", f"SELECT ord, round(cast(s AS DOUBLE), 2) AS relevance_score, s >= 3.0 AS is_relevant FROM (SELECT ord, {_RAW} AS s FROM normalized_papers)")
 def score_weighted(spark, d):
-    return C.weighted_score(papers(spark, d)).select("ord", "relevance_score", "is_relevant")
+    return C.weighted_score(matched(spark, d)).select("ord", "relevance_score", "is_relevant")
 
 
 _HAY = O.fold("concat(coalesce(title_kor,''), ' ', coalesce(title_eng,''), ' ', coalesce(title_other,''), ' ', array_to_string(" + _JL.format("keywords_json") + ", ' '), ' ', coalesce(abstract_kor,''), ' ', coalesce(abstract_eng,''))")
@@ -498,7 +506,7 @@ def export_rows(spark, d):
 
 @query("export_by_category", f"SELECT sheet, count(*) AS n FROM (SELECT unnest(CASE WHEN categories = '' THEN ['미분류'] ELSE string_split(categories, '|') END) AS sheet FROM ({_CLASSIFIED})) GROUP BY 1")
 def export_by_category(spark, d):
-    return E.by_category(C.classify(papers(spark, d), RULES)).groupBy("sheet").agg(F.count("*").alias("n"))
+    return E.by_category(C.classify(wide(spark, d, "normalized_papers"), RULES)).groupBy("sheet").agg(F.count("*").alias("n"))
 
 
 def _esc(c):
@@ -547,5 +555,5 @@ def parse_json_payload(spark, d):
 
 @query("p6_found")
 def p6_found(spark, d):
-    p = papers(spark, d).select("ord", "keyword_text_kor", "keyword_text_eng")
+    p = wide(spark, d, "normalized_papers", "ord", "keyword_text_kor", "keyword_text_eng")
     return split_packed(p, "ord", ["keyword_text_kor", "keyword_text_eng"])

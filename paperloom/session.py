@@ -31,3 +31,24 @@ def bounded_rows(df: DataFrame, limit: int, what: str) -> list:
     if len(rows) > limit:
         raise ValueError(f"{what}: more than {limit} rows; raise the documented bound")
     return rows
+
+
+SMALL = 1 << 30
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A scan of few, small files dealt out to all cores; for work that costs far more than moving its rows.
+
+    A file may be one row group and then is one task, however the splits are set.  Larger inputs, and those of many files, stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size >= SMALL or len(df.inputFiles()) >= 2 * cores:
+        return df
+    return df.repartition(2 * cores)
+
+
+def wide(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a table, spread."""
+    t = table(spark, sf_dir, name)
+    return spread(t.select(*columns) if columns else t)
