@@ -14,7 +14,7 @@ from paperloom.llm.reading import reading_levels
 from paperloom.llm.sentences import align
 from paperloom.llm.survivors import survivors
 from paperloom.llm.tokens import token_counts
-from paperloom.session import cut, table
+from paperloom.session import cut, table, wide
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -32,47 +32,47 @@ def query(name: str, sql: str | None = None):
 
 @query("p4_found")
 def p4_found(spark, d):
-    return name_pairs(link_names(table(spark, d, "normalized_papers").select("authors", "institution_id")))
+    return name_pairs(link_names(wide(spark, d, "normalized_papers", "authors", "institution_id")))
 
 
 @query("p5_found")
 def p5_found(spark, d):
-    return survivors(table(spark, d, "normalized_papers"))
+    return survivors(wide(spark, d, "normalized_papers", "ord", "source", "source_id", "doi", "updated_at", "abstract", "keywords", "matched_queries"))
 
 
 @query("p1_found")
 def p1_found(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", "text", "lang")
-    papers = table(spark, d, "normalized_papers").select("ord", "title_kor", "title_other", "abstract_other")
+    docs = wide(spark, d, "documents", "doc_id", "text", "lang")
+    papers = wide(spark, d, "normalized_papers", "ord", "title_kor", "title_other", "abstract_other")
     return found(find_languages(docs, papers))
 
 
 @query("p3_found")
 def p3_found(spark, d):
-    papers = table(spark, d, "normalized_papers").select("ord", "abstract_kor", "abstract_eng")
+    papers = wide(spark, d, "normalized_papers", "ord", "abstract_kor", "abstract_eng")
     pairs = align(papers, "ord", "abstract_kor", "abstract_eng")
     return pairs.select(F.col("id").alias("ord"), F.col("a_no").alias("kor_no"), F.col("b_no").alias("eng_no"))
 
 
 @query("p10_found")
 def p10_found(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", "text", "lang")
+    docs = wide(spark, d, "documents", "doc_id", "text", "lang")
     return reading_levels(docs, table(spark, d, "reading_labels")).select("doc_id", "read_level")
 
 
 @query("p2_found")
 def p2_found(spark, d):
-    pairs = link(table(spark, d, "kci_papers"), table(spark, d, "scopus_papers"))
+    pairs = link(wide(spark, d, "kci_papers"), wide(spark, d, "scopus_papers"))
     return pairs.select(F.col("a_id").alias("kci_id"), F.col("b_id").alias("scopus_id"))
 
 
 @query("p7_found")
 def p7_found(spark, d):
-    return repeats(table(spark, d, "kci_corpus"), table(spark, d, "corpus_batches"))
+    return repeats(wide(spark, d, "kci_corpus"), wide(spark, d, "corpus_batches"))
 
 
 def _sizes(spark, d):
-    return cut(token_counts(table(spark, d, "documents"), keep=("source",)))
+    return cut(token_counts(wide(spark, d, "documents", "doc_id", "text", "source"), keep=("source",)))
 
 
 @query("p8_containers")
