@@ -267,7 +267,8 @@ def split_packed(
         )
         long = part if long is None else long.unionByName(part)
     long = long.filter(F.col("text_").rlike(r"[^\s\x{a0}\x{3000}]"))
-    s = learn_splitter(long.select("text_"), iterations, floor)
+    # copies of one text are one witness: else a pair of values that is copied often would look like one value
+    s = learn_splitter(long.select("text_").distinct(), iterations, floor)
     b = df.sparkSession.sparkContext.broadcast(s)
     id_type = dict(df.dtypes)[id_col]
 
