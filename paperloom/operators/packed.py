@@ -34,7 +34,10 @@ ENUM = re.compile(r"(?:(?<=\s)|^|(?<=[,;|/·、，；#]))(?:\((\d{1,3})\)|(\d{1,
 QUOTES = {'"': '"', "'": "'", "“": "”", "‘": "’", "「": "」", "『": "』", "«": "»"}
 SEP = re.compile(r"\s*[%s](?:\s*[%s])*\s*" % (DELIMS, DELIMS))
 BASE, INNER = math.log(1e-6), math.log(1e-2)  # an unseen value; each further atom of an unseen value
-SAME_IN, OTHER_IN, OTHER_OUT = math.log(1e-4), math.log(0.5), math.log(0.1)
+SAME_IN, OTHER_OUT = math.log(1e-4), math.log(0.1)
+# how readily a delimiter other than the main one lies within a value: commas, slashes and dots do in names and terms, others hardly
+OTHER_IN = {",": math.log(0.5), "/": math.log(0.5), "·": math.log(0.5)}
+RARE_IN = math.log(1e-3)
 FLOOR = 5e-6
 
 
@@ -140,7 +143,7 @@ class Splitter:
         n = len(spans)
         main = max(set(kinds), key=lambda k: (sum(x == k for x in kinds), k)) if kinds else ""
         out = [0.0 if k in (main, "1") else OTHER_OUT for k in kinds]
-        inn = [SAME_IN if k == main else OTHER_IN for k in kinds]
+        inn = [SAME_IN if k == main else OTHER_IN.get(k, RARE_IN) for k in kinds]
         edges = []
         for i in range(n):
             w = 0.0
