@@ -15,7 +15,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Set a local checkpoint folder only where the session names none (tests)."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        named = sc.getConf().get("spark.checkpoint.dir", None)
+        named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="paperloom-ckpt-"))
 
 
