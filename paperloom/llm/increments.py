@@ -29,7 +29,7 @@ from paperloom.session import cut, ensure_checkpoint_dir
 
 DIM, SHARD_SIZE, BLOCK, NEAR, BACK, FAR = 96, 32768, 2048, 12, 28, 4
 CELL, DIVISIONS = 1024, 3
-BEAM, TARGET, PROBE_EVERY, MAX_PROBES, MAX_BEAM, OPEN = 32, 0.99, 32, 512, 1024, 4
+BEAM, TARGET, PROBE_EVERY, MAX_PROBES, MAX_BEAM, OPEN = 32, 0.995, 32, 512, 1024, 4
 COMPACT_EVERY = 5
 TAGS = re.compile(r"^\W*(정정|토론|논평|반론|회신|정오표|서평|correction|corrigendum|erratum|discussion|comment|reply|response)\b|[\[(](정정|토론|논평|반론|회신|정오표|correction|corrigendum|erratum|discussion|comment|reply|response)[\])]", re.IGNORECASE)
 _HANGUL = re.compile("[가-힣]")
