@@ -32,6 +32,7 @@ LABEL = re.compile(
 )
 ENUM = re.compile(r"(?:(?<=\s)|^|(?<=[,;|/·、，；#]))(?:\((\d{1,3})\)|(\d{1,3})[.)])(?=\s*\S)")
 QUOTES = {'"': '"', "'": "'", "“": "”", "‘": "’", "「": "」", "『": "』", "«": "»"}
+AFTER_QUOTE = re.compile(r"\s*(?:$|[%s])" % DELIMS)
 SEP = re.compile(r"\s*[%s](?:\s*[%s])*\s*" % (DELIMS, DELIMS))
 BASE, INNER = math.log(1e-6), math.log(1e-2)  # an unseen value; each further atom of an unseen value
 SAME_IN, OTHER_OUT = math.log(1e-4), math.log(0.1)
@@ -76,7 +77,7 @@ def atoms(text: str) -> tuple[list[str], list[tuple[int, int]], list[str]]:
             c = text[i]
             if start and c in QUOTES:
                 end = text.find(QUOTES[c], i + 1)
-                while end > 0 and not re.match(r"\s*(?:$|[%s])" % DELIMS, text[end + 1 :]):
+                while end > 0 and not AFTER_QUOTE.match(text, end + 1):
                     end = text.find(QUOTES[c], end + 1)
                 if end > 0:
                     quoted.append((i, end + 1))
