@@ -29,7 +29,7 @@ def term_table(spark, terms: Sequence[str]) -> DataFrame:
 
 
 def blocked_orgs(df: DataFrame, terms: DataFrame, publisher: str = "institution_id", journal: str = "journal_id") -> DataFrame:
-    """Distinct (publisher, journal) that a term of the term table matches.
+    """Distinct (publisher, journal) that a term of the term table (whose size is checked when it is made) matches.
 
     Names are made distinct first, so the test by containment, which no hash join can do, sees each name once.  Simplified names match
     if either contains the other (a very short name is thus contained in many terms).
@@ -39,7 +39,7 @@ def blocked_orgs(df: DataFrame, terms: DataFrame, publisher: str = "institution_
     orgs = orgs.withColumns({"t_": text, "s_": ns, "v_": F.array_distinct(F.concat(X.org_variants("p_"), X.org_variants("j_")))})
     both = F.exists("v_", lambda v: F.exists("tv_", lambda x: v.contains(x) | x.contains(v)))
     hit = F.col("t_").rlike(r"\S") & ((F.col("s_").contains(F.col("k_")) & (F.col("k_") != "")) | F.coalesce(F.rlike("t_", F.col("pattern")), F.lit(False)) | both)
-    return orgs.join(F.broadcast(terms.limit(MAX_RULES)), hit, "left_semi").select("p_", "j_")
+    return orgs.join(F.broadcast(terms), hit, "left_semi").select("p_", "j_")
 
 
 def not_blocked(df: DataFrame, terms: DataFrame, exempt: Column | None = None, publisher: str = "institution_id", journal: str = "journal_id") -> DataFrame:

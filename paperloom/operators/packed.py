@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paperloom.session import cut
+
 DELIMS = ",;|/·、，；\n\t#・‧ㆍ"
 # Words that label a keyword list.
 LABELS = ("주제어", "핵심어", "키워드", "중심어", "색인어", "keywords", "keyword", "key words", "key word", "index terms")
@@ -242,14 +244,9 @@ def learn_splitter(texts: DataFrame, iterations: int = 2, floor: float = FLOOR)
     b, s = None, None
     for _ in range(max(1, iterations)):
         it = texts.mapInArrow(lambda bs, b=b: _count_batches(bs, b), "value string, n double")
-        sums = it.groupBy("value").agg(F.sum("n").alias("n")).filter("value <> ''")
-        total = sums.withColumn("total", F.lit(1)).groupBy("total").agg(F.sum("n").alias("t"))
-        # one job: values of at least the floor, and the total with them
-        kept = sums.crossJoin(F.broadcast(total.select("t"))).filter(
-            (F.col("n") >= F.greatest(F.lit(1.5), F.lit(floor) * F.col("t")))
-        )
-        pdf = kept.toPandas()  # at most 1/floor rows: each is at least that share of the total
-        t = float(pdf["t"].iloc[0]) if len(pdf) else 1.0
+        sums = cut(it.groupBy("value").agg(F.sum("n").alias("n")).filter("value <> ''"))
+        t = sums.agg(F.sum("n")).first()[0] or 1.0
+        pdf = sums.filter((F.col("n") >= 1.5) & (F.col("n") >= floor * t)).toPandas()  # at most 1/floor rows: each is at least that share of the total
         s = Splitter(dict(zip(pdf["value"], pdf["n"])), t)
         b = sc.broadcast(s)
     return s
