@@ -354,9 +354,8 @@ def _organisations(names: DataFrame) -> DataFrame:
 
     parsed = cut(names.mapInArrow(parse, "name string, kor string, eng array<string>, fk string, fe string"))
     seen = parsed.filter("fk is not null").groupBy("fk", "fe").agg(F.count("*").alias("n"))
-    total = seen.agg(F.sum("n").alias("t"))
-    lex = seen.crossJoin(F.broadcast(total)).filter(F.col("n") >= F.col("t") * LEXICON_FLOOR)
-    rows = lex.toPandas().sort_values(["n", "fk", "fe"], ascending=[False, True, True])
+    total = seen.agg(F.sum("n")).first()[0] or 0
+    rows = seen.filter(F.col("n") >= total * LEXICON_FLOOR).toPandas().sort_values(["n", "fk", "fe"], ascending=[False, True, True])
     fields: dict[str, str] = {}
     strong: dict[str, int] = {}
     for fk, fe, n in zip(rows["fk"], rows["fe"], rows["n"]):

@@ -18,9 +18,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.session import cut
+from paperloom.session import bounded_rows, cut
 
-GROUP, FILL_NODES, BRANCHES, SEARCH = 2000, 600, 2, 4
+GROUP, FILL_NODES, BRANCHES, SEARCH, MAX_SPECS = 2000, 600, 2, 4, 1000
 
 
 def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
@@ -140,9 +140,12 @@ def pack(docs: DataFrame, specs: DataFrame, size: str = "n_tokens", id_col: str
     items = cut(docs.filter(F.col(size) > 0).select(F.col(id_col).cast("bigint").alias("id"), F.col(size).cast("bigint").alias("size")))
     n = items.count()
     groups = max(1, round(n / group))
-    caps = specs.filter("capacity_tokens > 0").select("spec_id", F.col("capacity_tokens").cast("bigint").alias("cap"))
-    # specs are a small fixed table; every item is stated once for each of them
-    x = items.withColumn("one", F.lit(1)).join(F.broadcast(caps.limit(1000).withColumn("one", F.lit(1))), "one").drop("one")
+    caps = bounded_rows(specs.filter("capacity_tokens > 0").select("spec_id", F.col("capacity_tokens").cast("bigint").alias("cap")), MAX_SPECS, "container specs")
+    types = dict(specs.dtypes)
+    kind = f"array<struct<spec_id:{types['spec_id']},cap:bigint>>"
+    every = F.array(*[F.struct(F.lit(r["spec_id"]).alias("spec_id"), F.lit(r["cap"]).alias("cap")) for r in caps]).cast(kind)
+    # every item is stated once for each spec
+    x = items.select("id", "size", F.inline(every))
     pieces = x.withColumn("piece", F.explode(F.when(F.col("size") > F.col("cap"), F.sequence(F.lit(0), F.expr("cast((size - 1) div cap as int)"))).otherwise(F.array(F.lit(0)))))
     pieces = pieces.select("spec_id", "cap", "id", "piece", (F.col("piece") * F.col("cap")).alias("start"), F.least("cap", F.col("size") - F.col("piece") * F.col("cap")).alias("n"))
     full = pieces.filter("n = cap").select(
@@ -160,7 +163,6 @@ def pack(docs: DataFrame, specs: DataFrame, size: str = "n_tokens", id_col: str
             "piece_no": pdf["piece"], "start_token": pdf["start"], "n_tokens": pdf["n"]})
 
     rest = pieces.filter("n < cap").withColumn("grp", F.pmod(F.xxhash64("id"), F.lit(groups)))
-    types = dict(specs.dtypes)
     packed = rest.groupBy("spec_id", "grp").applyInPandas(fill, f"spec_id {types['spec_id']}, container_id string, doc_id bigint, piece_no int, start_token bigint, n_tokens bigint")
     return full.unionByName(packed)
 
@@ -168,5 +170,5 @@ def pack(docs: DataFrame, specs: DataFrame, size: str = "n_tokens", id_col: str
 def usage(packed: DataFrame, specs: DataFrame) -> DataFrame:
     """spec_id, containers, tokens, unused_share."""
     by = packed.groupBy("spec_id", "container_id").agg(F.sum("n_tokens").alias("t")).groupBy("spec_id").agg(F.count("*").alias("containers"), F.sum("t").alias("tokens"))
-    return by.join(F.broadcast(specs.select("spec_id", "capacity_tokens").limit(1000)), "spec_id").select(
+    return by.join(specs.select("spec_id", "capacity_tokens"), "spec_id").select(
         "spec_id", "containers", "tokens", (1 - F.col("tokens") / (F.col("containers") * F.col("capacity_tokens"))).alias("unused_share"))
