@@ -114,7 +114,7 @@ def person(s: str) -> tuple[str | None, str | None, str, list[str]]:
         if g in NICKNAMES and (family is None or _letters(family) == f):
             return None, None, skeleton, [f"nick:{f}"]
     for g, f in ((words[0], words[1]), (words[1], words[0])):
-        if _syllables(g) == [g] and len(_syllables(f)) > 1:
+        if _syllables(g) == [g] and re.search("[wy]?[aeiou]+", g)[0] in VOWELS and len(_syllables(f)) > 1:
             return None, None, skeleton, [f"pre:{f}:{g}"]
     a, b = sorted(words)
     return f"{a}|{b}", None, skeleton, []
