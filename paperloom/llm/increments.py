@@ -4,12 +4,13 @@ Every record becomes a vector (signed feature hashing of its place, names, ident
 features.  History is cut into segments of about SHARD_SIZE records; each gets a navigable small-world graph: near
 neighbours, their reverse links and a few long-range links.  A batch is indexed as a shard of its own and searched with a beam
 in every shard; when a shard is built, its beam is widened until its recall against exhaustive search on retyped members reaches TARGET.  What the beam finds
-is reranked with the exact features, which the shard holds too, so history's records are never read again.  After
-COMPACT_EVERY batches the small shards are merged and their graphs rebuilt.
+is reranked with the exact features, which the shard holds too.  A query whose beam has a match in its worse half, so that more may
+lie beyond it, is compared with the whole shard.  Equal source_ids are matched by a join.  What is hit in the history is then searched
+itself, until no smaller id of a paper turns up.  After COMPACT_EVERY batches the small shards are merged and their graphs rebuilt.
 
 Scale.  Building is linear in the history (neighbours are sought in cells of bounded size), searching is one row per
-(shard, block of queries), joined on the shard's number.  Exact copies share one node, so hot groups of copies do not clot a
-graph.  Shards are tables in the shared checkpoint folder: a lost executor costs a re-run of its tasks.
+(shard, block of queries), joined on the shard's number.  Copies that differ in source_id at most share one node, so hot groups of
+copies do not clot a graph; a crowd of unlike copies costs each query that meets it one pass over the shard.  Shards are tables in the shared checkpoint folder: a lost executor costs a re-run of its tasks.
 """
 
 from __future__ import annotations
@@ -88,7 +89,7 @@ def encode_record(r: dict) -> tuple[bytes, bytes, bytes]:
     # from coarse to fine, so that a search can approach: records of one journal, then of its volume, then of the place
     for t, w in (
         (journal and "j" + journal, 1.5), (vol and "v" + vol, 1.0), (vol and journal and f"jv{journal}|{vol}", 1.2), (num and f"n{vol}|{num}", 0.6),
-        (first and "f" + first, 1.2), (last and "l" + last, 1.2), (first and vol and f"p{vol}|{first}", 1.2), (sid and "s" + sid, 1.5), (doi and "d" + doi, 0.7),
+        (first and "f" + first, 1.2), (last and "l" + last, 1.2), (first and vol and f"p{vol}|{first}", 1.2), (doi and "d" + doi, 0.7),
     ):
         if t:
             v += w * _signed(t)
@@ -202,10 +203,11 @@ def build_graph(x: np.ndarray, seed: int) -> np.ndarray:
     return order
 
 
-def beam_search(x: np.ndarray, links: np.ndarray, q: np.ndarray, beam: int, entries: np.ndarray) -> np.ndarray:
+def beam_search(x: np.ndarray, links: np.ndarray, q: np.ndarray, beam: int, entries: np.ndarray, node_ids: np.ndarray | None = None, before: np.ndarray | None = None) -> np.ndarray:
     """Best nodes of each query found with a beam: len(q) x beam node numbers (-1: none), best first.
 
-    All queries advance together; each step opens the OPEN best nodes of every beam that are not open yet.
+    All queries advance together; each step opens the OPEN best nodes of every beam that are not open yet.  With ``before``, an id for
+    each query, as many columns follow: the best nodes met on the way whose id is smaller.
     """
     m, n = len(q), len(x)
     beam = min(max(beam, 1), n)
@@ -219,6 +221,10 @@ def beam_search(x: np.ndarray, links: np.ndarray, q: np.ndarray, beam: int, entr
     order = np.argsort(-first, axis=1, kind="stable")[:, :w]
     ids[:, :w], sims[:, :w], opened[:, :w] = entries[order], np.take_along_axis(first, order, 1), False
     seen[np.arange(m)[:, None], ids[:, :w]] = True
+    older, older_sims = np.full((m, beam), -1, np.int64), np.full((m, beam), -3.0, np.float32)
+    if before is not None:
+        ok = (ids[:, :w] >= 0) & (node_ids[ids[:, :w]] < before[:, None])
+        older[:, :w], older_sims[:, :w] = np.where(ok, ids[:, :w], -1), np.where(ok, sims[:, :w], -3.0)
     live = np.arange(m)
     width = min(OPEN, beam)
     while len(live):
@@ -252,12 +258,18 @@ def beam_search(x: np.ndarray, links: np.ndarray, q: np.ndarray, beam: int, entr
         new_ids = np.full((len(live), most), -1, np.int64)
         new_sims = np.full((len(live), most), -3.0, np.float32)
         new_ids[r, pos], new_sims[r, pos] = node, val
+        if before is not None:
+            ok = (new_ids >= 0) & (node_ids[np.maximum(new_ids, 0)] < before[live][:, None])
+            o_ids = np.concatenate((older[live], np.where(ok, new_ids, -1)), axis=1)
+            o_sims = np.concatenate((older_sims[live], np.where(ok, new_sims, -3.0)), axis=1)
+            order = np.argsort(-o_sims, axis=1, kind="stable")[:, :beam]
+            older[live], older_sims[live] = np.take_along_axis(o_ids, order, 1), np.take_along_axis(o_sims, order, 1)
         a_ids = np.concatenate((ids[live], new_ids), axis=1)
         a_sims = np.concatenate((sims[live], new_sims), axis=1)
         a_open = np.concatenate((opened[live], new_ids < 0), axis=1)
         order = np.argsort(-a_sims, axis=1, kind="stable")[:, :beam]
         ids[live], sims[live], opened[live] = (np.take_along_axis(a, order, 1) for a in (a_ids, a_sims, a_open))
-    return ids
+    return ids if before is None else np.concatenate((ids, older), axis=1)
 
 
 def tuned_beam(x: np.ndarray, links: np.ndarray, probe: np.ndarray, entries: np.ndarray) -> int:
@@ -296,7 +308,8 @@ def _entries(n: int) -> np.ndarray:
 
 def _shard(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf.sort_values("id")
-    # exact copies share the node of the smallest id
+    # copies under whatever source_id share the node of the smallest id; equal source_ids are not the graph's matter
+    pdf["feat"] = [bytes(8) + f[8:] for f in pdf["feat"]]
     pdf = pdf.drop_duplicates(subset=["feat", "bits"], keep="first")
     vec = np.frombuffer(b"".join(pdf["vec"]), np.float32).reshape(-1, DIM)
     feat = np.frombuffer(b"".join(pdf["feat"]), np.int64).reshape(-1, len(FEATS))
@@ -351,6 +364,32 @@ def same_paper(fa, ba, fb, bb) -> np.ndarray:
     return np.where(tag_no & ~sid & ((titled > 0) | (fa[:, 7] != 0)), np.where((title < 0) & first & last & (vol | jou), s - 1.0, -9.0), s)
 
 
+def shard_matches(ids, x, feat, bits, links, beam: int, qid, qv, qf, qb) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query row, node, score) of the nodes of smaller ids that are the query's paper.
+
+    A query with a match in the worse half of a full beam is compared with all nodes, as more may lie beyond the beam.
+    """
+    mixed = len(ids) > 0 and ids.max() >= qid.min()
+    got = beam_search(x, links, qv, beam, _entries(len(x)), ids, qid) if mixed else beam_search(x, links, qv, beam, _entries(len(x)))
+    beam = min(beam, len(x))
+    r, c = np.nonzero(got >= 0)
+    node = got[r, c]
+    s = same_paper(qf[r], qb[r], feat[node], bits[node])
+    crowded = np.zeros(len(qid), bool)
+    if beam < len(x):
+        crowded[r[(s >= 0) & (c % beam >= beam // 2)]] = True
+    ok = (s >= 0) & (ids[node] < qid[r]) & ~crowded[r]
+    # a node may stand both in the beam and among the older ones
+    _, one = np.unique(r[ok] * np.int64(len(x)) + node[ok], return_index=True)
+    out = [(r[ok][one], node[ok][one], s[ok][one])]
+    for k in np.flatnonzero(crowded):
+        node = np.flatnonzero(ids < qid[k])
+        s = same_paper(np.broadcast_to(qf[k], (len(node), qf.shape[1])), np.broadcast_to(qb[k], (len(node), qb.shape[1])), feat[node], bits[node])
+        node, s = node[s >= 0], s[s >= 0]
+        out.append((np.full(len(node), k), node, s))
+    return tuple(np.concatenate(v) for v in zip(*out))
+
+
 class ShardedIndex:
     """Shards of history, appended batch by batch.  Searching reads the shards, never the records behind them."""
 
@@ -394,7 +433,7 @@ class ShardedIndex:
         self._write(merged, sum(p[1] for p in small))
 
     def search(self, encoded: DataFrame, n: int) -> DataFrame:
-        """new_id, old_id (smaller), score: what the beams find and the exact comparison confirms."""
+        """new_id, old_id (smaller), score: what the beams or the passes over crowded shards find and the exact comparison confirms."""
         blocks = max(1, -(-n // BLOCK))
         q = encoded.withColumn("block", F.pmod(F.xxhash64("id", F.lit("q")), F.lit(blocks)))
         q = q.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("id", "vec", "feat", "bits"))).alias("qs"))
@@ -405,20 +444,14 @@ class ShardedIndex:
             for b in batches:
                 for qs, beam, data in zip(*(b.column(k).to_pylist() for k in ("qs", "beam", "data"))):
                     ids, x, feat, bits, links = _unpack(data)
-                    entries = _entries(len(x))
                     qid = np.array([r["id"] for r in qs])
                     qv = np.frombuffer(b"".join(r["vec"] for r in qs), np.float32).reshape(-1, DIM)
                     qf = np.frombuffer(b"".join(r["feat"] for r in qs), np.int64).reshape(-1, len(FEATS))
                     qb = np.frombuffer(b"".join(r["bits"] for r in qs), np.int64).reshape(-1, 20)
                     for at in range(0, len(qv), 512):
-                        got = beam_search(x, links, qv[at : at + 512], beam, entries)
-                        r, c = np.nonzero(got >= 0)
-                        node, r = got[r, c], r + at
-                        ok = ids[node] < qid[r]
-                        node, r = node[ok], r[ok]
-                        s = same_paper(qf[r], qb[r], feat[node], bits[node])
-                        k = s >= 0
-                        yield pa.RecordBatch.from_pydict({"new_id": pa.array(qid[r[k]]), "old_id": pa.array(ids[node[k]]), "score": pa.array(s[k])})
+                        part = slice(at, at + 512)
+                        r, node, s = shard_matches(ids, x, feat, bits, links, beam, qid[part], qv[part], qf[part], qb[part])
+                        yield pa.RecordBatch.from_pydict({"new_id": pa.array(qid[part][r]), "old_id": pa.array(ids[node]), "score": pa.array(s)})
 
         return pairs.select("qs", "beam", "data").mapInArrow(run, "new_id bigint, old_id bigint, score double")
 
@@ -426,6 +459,28 @@ class ShardedIndex:
         return [(int(folder.rsplit("-", 1)[1]) - 1) * 1_000_000 + i for folder, _, k in self.parts for i in range(k)]
 
 
+def same_source(encoded: DataFrame) -> DataFrame:
+    """new_id, old_id (smaller), score of the records that share a known source_id and compare as one paper.
+
+    Exact copies link to the one of the smallest id, and only these are paired.
+    """
+    known = encoded.select("id", "feat", "bits", F.substring("feat", 1, 8).alias("sid")).filter(F.col("sid") != F.expr("X'0000000000000000'"))
+    lead = cut(known.groupBy("sid", "feat", "bits").agg(F.min("id").alias("lead"), F.collect_list("id").alias("ids")))
+    copies = lead.select(F.explode("ids").alias("new_id"), F.col("lead").alias("old_id"), "feat", "bits", F.col("feat").alias("feat_b"), F.col("bits").alias("bits_b")).filter("new_id > old_id")
+    a = lead.select("sid", F.col("lead").alias("new_id"), "feat", "bits")
+    b = lead.select("sid", F.col("lead").alias("old_id"), F.col("feat").alias("feat_b"), F.col("bits").alias("bits_b"))
+    pairs = a.join(b, "sid").filter("new_id > old_id").select("new_id", "old_id", "feat", "bits", "feat_b", "bits_b")
+
+    def run(batches):
+        for t in batches:
+            n = len(t)
+            fa, ba, fb, bb = (np.frombuffer(b"".join(t.column(k).to_pylist()), np.int64).reshape(n, -1 if n else w) for k, w in (("feat", len(FEATS)), ("bits", 20), ("feat_b", len(FEATS)), ("bits_b", 20)))
+            s = same_paper(fa, ba, fb, bb)
+            yield pa.RecordBatch.from_arrays([t.column("new_id"), t.column("old_id"), pa.array(s)], names=["new_id", "old_id", "score"]).filter(pa.array(s >= 0))
+
+    return copies.unionByName(pairs).mapInArrow(run, "new_id bigint, old_id bigint, score double")
+
+
 def first_ids(links: DataFrame, max_rounds: int = 30) -> DataFrame:
     """new_id -> first_id, the smallest id reached over older records; links always lead to smaller ids."""
     label = cut(links.groupBy("new_id").agg(F.min("old_id").alias("first_id")))
@@ -444,11 +499,12 @@ def repeats(history: DataFrame, batches: DataFrame, shard_size: int = SHARD_SIZE
     """first_id, new_id for the batch records that repeat a known one.
 
     Batches are taken in their order; each is indexed, then searched in all shards.  Null attributes are unknown; the id
-    ``unknown`` is none; exact copies link to the smallest id; empty batches and an empty history give no rows.
+    ``unknown`` is none; first_id is the smallest id reached over all records of the paper, those of the history too; empty batches and an empty history give no rows.
     """
     spark = history.sparkSession
     index = ShardedIndex(spark, shard_size=shard_size)
-    index.add(encode(history), history.count())
+    known = cut(encode(history))
+    index.add(known, known.count())
     per_batch = {r["batch_no"]: r["n"] for r in batches.groupBy("batch_no").agg(F.count("*").alias("n")).collect()}
     encoded = cut(encode(batches).join(batches.select("id", "batch_no"), "id"))
     links = None
@@ -461,4 +517,17 @@ def repeats(history: DataFrame, batches: DataFrame, shard_size: int = SHARD_SIZE
             index.compact()
     if links is None:
         return spark.createDataFrame([], "first_id bigint, new_id bigint")
-    return first_ids(links).select("first_id", "new_id")
+    links = links.unionByName(cut(same_source(known.unionByName(encoded.drop("batch_no")))))
+    # records of the history that are hit are searched too, then what they hit: each round reaches smaller ids
+    done = None
+    while True:
+        hit = links.select(F.col("old_id").alias("id")).distinct()
+        todo = known.join(hit, "id", "left_semi")
+        todo = cut(todo if done is None else todo.join(done, "id", "left_anti"))
+        n = todo.count()
+        if not n:
+            break
+        links = links.unionByName(cut(index.search(todo, n)))
+        done = todo.select("id") if done is None else done.unionByName(todo.select("id"))
+    ids = batches.select(F.col("id").cast("bigint").alias("new_id")).distinct()
+    return first_ids(links).join(ids, "new_id", "left_semi").select("first_id", "new_id")

@@ -129,3 +129,19 @@ def test_same_paper():
     assert score(base, base | {"source_id": "A2", "title": "[토론] 가나다 라마바사 아자차", "first_page": "10", "final_page": "12"}) < 0
     assert score(base | {"title": "가나다 (I)"}, base | {"source_id": "A2", "title": "가나다 (II)", "first_page": "10"}) < 0
     assert score(base | {"source_id": "unknown"}, {k: None for k in I.COLUMNS} | {"source_id": "unknown"}) < 0
+
+
+def test_a_crowd_in_a_shard_is_found_whole():
+    base = {k: None for k in I.COLUMNS} | {"journal_id": "J", "issue_id": "3_1", "first_page": "5", "final_page": "9"}
+    rows = [base | {"title": f"가나다 라마바사 아자차 {i:03d}"} for i in range(500)] + [base | {"title": f"{i} 거너더 {i * 7}", "first_page": str(i + 50), "final_page": None} for i in range(500)]
+    e = [I.encode_record(r) for r in rows]
+    vec, feat, bits = (np.frombuffer(b"".join(x[k] for x in e), t).reshape(len(e), -1) for k, t in enumerate((np.float32, np.int64, np.int64)))
+    ids = np.random.default_rng(4).permutation(1000).astype(np.int64)
+    links = I.build_graph(vec, 1)
+    for qid in (np.array([5000, 5001]), np.array([300, 700])):
+        q = [0, 250]
+        r, node, s = I.shard_matches(ids, vec, feat, bits, links, 32, qid, vec[q], feat[q], bits[q])
+        for k, a in enumerate(q):
+            all_s = I.same_paper(np.repeat(feat[a : a + 1], 1000, 0), np.repeat(bits[a : a + 1], 1000, 0), feat, bits)
+            want = np.flatnonzero((all_s >= 0) & (ids < qid[k]))
+            assert len(want) > 100 and sorted(node[r == k]) == want.tolist()
