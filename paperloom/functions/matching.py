@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from itertools import permutations
 
 from pyspark.sql import Column
@@ -30,6 +31,26 @@ def proximity_pattern(tokens: list[str], gap: int = GAP) -> str:
     return "(?s)(?:" + "|".join(chains) + ")"
 
 
+def near_words(tokens: list[str], text: str, gap: int = GAP) -> bool:
+    """The test of ``proximity_pattern`` on plain strings, for any number of tokens, which may recur (then at other places).
+
+    Occurrences are taken in the order of the text; each keeps the sets of tokens that chains of small gaps ending in it have used.
+    """
+    need = Counter(tokens)
+    names = list(need)
+    spots = sorted((m.start(), k, m.start() + len(t)) for k, t in enumerate(names) for m in re.finditer(f"(?={re.escape(t)})", text))
+    full = tuple(need[t] for t in names)
+    none = (0,) * len(names)
+    chains: list[tuple[int, set[tuple[int, ...]]]] = []
+    for start, k, end in spots:
+        before = {none}.union(*(c for e, c in chains if start - e <= gap))
+        here = {(*c[:k], c[k] + 1, *c[k + 1 :]) for c in before if c[k] < full[k]}
+        if full in here:
+            return True
+        chains.append((end, here))
+    return False
+
+
 def keyword_in(keyword: str, text: Column, spaceless: Column, gap: int = GAP) -> Column:
     """text and spaceless are folded; the second is without white space.
 

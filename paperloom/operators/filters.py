@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.functions import text as X
-from paperloom.functions.matching import any_of, haystack, keyword_in, proximity_pattern, word_in
+from paperloom.functions.matching import any_of, haystack, keyword_in, near_words, word_in
 from paperloom.plans.rules import MAX_RULES, RuleSet
 
 
@@ -18,28 +19,37 @@ def year_range(df: DataFrame, first: int, last: int, year: str = "publication_ye
 
 
 def term_table(spark, terms: Sequence[str]) -> DataFrame:
-    """term, k_ (without white space), pattern (proximity; null for one word), tv_ (simple names): one row per term, at most MAX_RULES."""
+    """term, k_ (without white space), words (repeated ones too), tv_ (simple names): one row per term, at most MAX_RULES."""
     if len(terms) > MAX_RULES:
         raise ValueError(f"more than {MAX_RULES} terms")
     rows = []
     for t in terms:
-        words = list(dict.fromkeys(t.casefold().split()))
-        rows.append((t, "".join(words), proximity_pattern(words) if 1 < len(words) < 6 else None))
-    return spark.createDataFrame(rows, "term string, k_ string, pattern string").withColumn("tv_", X.org_variants("term"))
+        words = t.casefold().split()
+        rows.append((t, "".join(words), words))
+    return spark.createDataFrame(rows, "term string, k_ string, words array<string>").withColumn("tv_", X.org_variants("term"))
 
 
 def blocked_orgs(df: DataFrame, terms: DataFrame, publisher: str = "institution_id", journal: str = "journal_id") -> DataFrame:
     """Distinct (publisher, journal) that a term of the term table (whose size is checked when it is made) matches.
 
     Names are made distinct first, so the test by containment, which no hash join can do, sees each name once.  Simplified names match
-    if either contains the other (a very short name is thus contained in many terms).
+    if either contains the other (a very short name is thus contained in many terms).  Names that hold all words of a term go through
+    the proximity test, whatever the number of words.
     """
     orgs = df.select(F.col(publisher).alias("p_"), F.col(journal).alias("j_")).distinct()
     text, ns = haystack("p_", "j_")
     orgs = orgs.withColumns({"t_": text, "s_": ns, "v_": F.array_distinct(F.concat(X.org_variants("p_"), X.org_variants("j_")))})
     both = F.exists("v_", lambda v: F.exists("tv_", lambda x: v.contains(x) | x.contains(v)))
-    hit = F.col("t_").rlike(r"\S") & ((F.col("s_").contains(F.col("k_")) & (F.col("k_") != "")) | F.coalesce(F.rlike("t_", F.col("pattern")), F.lit(False)) | both)
-    return orgs.join(F.broadcast(terms), hit, "left_semi").select("p_", "j_")
+    sure = (F.col("s_").contains(F.col("k_")) & (F.col("k_") != "")) | both
+    words = (F.size("words") > 1) & F.forall("words", lambda w: F.col("t_").contains(w))
+    pairs = orgs.filter(F.col("t_").rlike(r"\S")).join(F.broadcast(terms), sure | words).select("p_", "j_", "t_", "words", sure.alias("sure"))
+
+    def near(batches):
+        for b in batches:
+            ok = [s or near_words(w, t) for s, w, t in zip(*(b.column(c).to_pylist() for c in ("sure", "words", "t_")))]
+            yield b.select(["p_", "j_"]).filter(pa.array(ok, pa.bool_()))
+
+    return pairs.mapInArrow(near, "p_ string, j_ string").distinct()
 
 
 def not_blocked(df: DataFrame, terms: DataFrame, exempt: Column | None = None, publisher: str = "institution_id", journal: str = "journal_id") -> DataFrame:

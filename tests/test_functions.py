@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from paperloom.functions import text as X
-from paperloom.functions.matching import haystack, keyword_in, proximity_pattern, word_in
+from paperloom.functions.matching import haystack, keyword_in, near_words, proximity_pattern, word_in
 
 
 def one(spark, c, **cols):
@@ -79,3 +79,13 @@ def test_org_variants(spark):
     got = set(one(spark, X.org_variants(F.lit("사단법인 가나학회 (구. Old Society)"))))
     assert got == {"가나학회구oldsociety", "가나학회", "oldsociety"}
     assert one(spark, X.org_variants(F.lit(None).cast("string"))) == []
+
+
+def test_near_words_against_brute_force():
+    rng = random.Random(6)
+    for tokens in (["ab", "ba"], ["aa", "bc", "ca"], ["ab", "ca", "ab"], ["a", "b", "c", "ab", "bc", "ca"]):
+        for _ in range(200):
+            t = "".join(rng.choice("abc  \n") for _ in range(rng.randint(0, 24)))
+            assert near_words(tokens, t, 2) == brute(tokens, t, 2), (tokens, t)
+    names = "one two three four five six seven eight nine ten eleven twelve".split()
+    assert near_words(names[::-1], " ".join(names)) and not near_words(names, " ".join(names[:-1]))

@@ -139,3 +139,11 @@ def test_rules():
     assert parse_rules({"include_any": ["q"]}).rules[0].mode == "direct"
     with pytest.raises(ValueError):
         parse_rules([])
+
+
+def test_long_names_are_blocked(spark):
+    term = "Korean Institute of Information Security and Cryptology"
+    names = [term, "Institute of Information Security and Cryptology, Korean", "Korean Institute of Information and Communication Security and Cryptology", "Korean Institute of Information Security",
+             "Korean" + "x" * 17 + "Institute of Information Security and Cryptology", "Law of Society here", "Society for Law of Society"]
+    p = papers(spark, *[{"institution_id": n} for n in names])
+    assert sorted(r["ord"] for r in L.not_blocked(p, L.term_table(spark, (term, "Society of Law of Society"))).collect()) == [4, 5, 6]
