@@ -7,9 +7,9 @@ bands, and places that differ in two of five blocks at most agree on one of the
 scores and block agreements become levels, and a two-class mixture fitted to all candidate pairs by expectation-maximisation
 turns the levels into a calibrated confidence.
 
-Scale.  Candidates come from equi-joins only.  Titles are indexed once per distinct title; a title that more than COMMON
-records bear says nothing, and its records are found by place.  A combination of three blocks that more than COMMON records
-share is refined by each further block instead of being joined as it is.  The mixture sees counts of level patterns, a table whose
+Scale.  Candidates come from equi-joins only.  Titles are indexed once per distinct title.  Every pair of records with close titles or
+a common combination of three blocks is a candidate, so work grows with the square of the commonest title or place; those that more
+than COMMON records share are dealt out by a salt.  The mixture sees counts of level patterns, a table whose
 size is bounded by the product of the levels.
 """
 
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from paperloom.llm.names import romanize
 from paperloom.session import cut
 
-TITLE_BITS, TITLE_RADIUS, NAME_BITS, COMMON = 512, 11, 256, 60
+TITLE_BITS, TITLE_RADIUS, NAME_BITS, COMMON, MAX_SALTS = 512, 11, 256, 60, 64
 WORDS, NAME_WORDS = TITLE_BITS // 64, NAME_BITS // 64
 BLOCKS = ("issn", "volume", "first", "last", "name")
 _TAG = re.compile(r"<[^<>]*>|\[[^\[\]]*\]|&[a-z]+;", re.IGNORECASE)
@@ -136,35 +136,34 @@ def _encode(df: DataFrame) -> DataFrame:
 
 
 def _place_keys(df: DataFrame) -> DataFrame:
-    """id, key, more: the combinations of three known blocks, and what may refine them."""
+    """id, key: the combinations of three known blocks, and the DOI."""
     name = F.explode_outer("names").alias("name")
-    x = df.select("id", "issn", "volume", "first", "last", "title", "doi", name)
+    x = df.select("id", "issn", "volume", "first", "last", name)
     keys = []
     for c in combinations(BLOCKS, 3):
         known = F.lit(True)
         for k in c:
             known = known & F.col(k).isNotNull()
-        rest = [F.concat(F.lit(k + "="), F.col(k)) for k in (*BLOCKS, "title", "doi") if k not in c]
-        keys.append(F.when(known, F.struct(F.concat_ws("\x01", F.lit("+".join(c)), *c).alias("key"), F.array_compact(F.array(*rest)).alias("more"))))
-    k = x.select("id", F.explode(F.array_compact(F.array(*keys))).alias("k")).select("id", F.col("k.key").alias("key"), F.col("k.more").alias("more"))
-    doi = df.filter("doi is not null").select("id", F.concat(F.lit("doi\x01"), "doi").alias("key"), F.filter(F.array("title", "first", "last", "volume", "issn"), lambda v: v.isNotNull()).alias("more"))
-    return k.unionByName(doi).groupBy("id", "key").agg(F.array_distinct(F.flatten(F.collect_list("more"))).alias("more"))
+        keys.append(F.when(known, F.concat_ws("\x01", F.lit("+".join(c)), *c)))
+    k = x.select("id", F.explode(F.array_compact(F.array(*keys))).alias("key"))
+    return k.unionByName(df.filter("doi is not null").select("id", F.concat(F.lit("doi\x01"), "doi").alias("key"))).distinct()
 
 
-def _refined(keys: DataFrame, heavy: DataFrame) -> DataFrame:
-    h = keys.join(heavy, "key", "left")
-    return h.select("id", F.explode(F.when(F.col("heavy"), F.transform("more", lambda m: F.concat(F.col("key"), F.lit("\x02"), m))).otherwise(F.array("key"))).alias("key"))
+def _all_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
+    """a_id, b_id of all pairs of rows (id, key) with one key; a key of many rows is spread over salts."""
+    heavy = a.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > COMMON).select("key", F.least(F.ceil(F.col("n") / COMMON), F.lit(MAX_SALTS)).cast("int").alias("salts"))
+    salts = F.coalesce("salts", F.lit(1))
+    x = a.join(heavy, "key", "left").select(F.col("id").alias("a_id"), "key", F.pmod(F.xxhash64("id"), salts).cast("int").alias("salt"))
+    y = b.join(heavy, "key", "left").select(F.col("id").alias("b_id"), "key", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"))
+    return x.join(y, ["key", "salt"]).select("a_id", "b_id")
 
 
 def candidates(a: DataFrame, b: DataFrame) -> DataFrame:
     """Distinct pairs a_id, b_id that are close in place or title."""
-    ka, kb = _place_keys(a), _place_keys(b)
-    ka, kb = cut(ka), cut(kb)
-    heavy = ka.select("key").unionByName(kb.select("key")).groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > COMMON).select("key", F.lit(True).alias("heavy"))
-    place = _refined(ka, heavy).withColumnRenamed("id", "a_id").join(_refined(kb, heavy).withColumnRenamed("id", "b_id"), "key").select("a_id", "b_id")
+    place = _all_pairs(cut(_place_keys(a)), cut(_place_keys(b)))
 
     def titles(x: DataFrame, side: str) -> DataFrame:
-        return x.filter("title is not null").groupBy("title").agg(F.first("tv").alias("tv"), F.count("*").alias("n")).filter(F.col("n") <= COMMON).select(F.col("title").alias(f"{side}_title"), F.col("tv").alias(f"{side}_tv"))
+        return x.filter("title is not null").groupBy("title").agg(F.first("tv").alias("tv")).select(F.col("title").alias(f"{side}_title"), F.col("tv").alias(f"{side}_tv"))
 
     def banded(x: DataFrame, side: str) -> DataFrame:
         def run(batches):
@@ -182,10 +181,9 @@ def candidates(a: DataFrame, b: DataFrame) -> DataFrame:
 
     distance = sum((F.bit_count(F.col("a_tv")[i].bitwiseXOR(F.col("b_tv")[i])) for i in range(WORDS)), F.lit(0))
     near = banded(titles(a, "a"), "a").join(banded(titles(b, "b"), "b"), "band").filter(distance <= TITLE_RADIUS).select("a_title", "b_title").distinct()
-    by_title = (
-        near.join(a.select(F.col("id").alias("a_id"), F.col("title").alias("a_title")), "a_title")
-        .join(b.select(F.col("id").alias("b_id"), F.col("title").alias("b_title")), "b_title").select("a_id", "b_id")
-    )
+    # each record of the first table under the second's titles that are near its own
+    near_a = near.join(a.select("id", F.col("title").alias("a_title")), "a_title").select("id", F.col("b_title").alias("key"))
+    by_title = _all_pairs(cut(near_a), b.filter("title is not null").select("id", F.col("title").alias("key")))
     return place.unionByName(by_title).distinct()
 
 

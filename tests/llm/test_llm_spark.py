@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from paperloom.llm.increments import first_ids, repeats
 from paperloom.llm.languages import find_languages, found
-from paperloom.llm.linkage import link
+from paperloom.llm.linkage import _encode, candidates, link
 from paperloom.llm.mixing import mix, rates, shares
 from paperloom.llm.names import link_names, name_pairs
 from paperloom.llm.packing import pack, usage
@@ -226,3 +226,12 @@ def test_repeats_of_a_crowd(spark):
            _paper(5003, "전혀 다른", 99, title_eng=None, source_id="S1001", issue_id="8_1", journal_id="J8", authors_json=None, first_page=None, final_page=None)]
     got = {r["new_id"]: r["first_id"] for r in repeats(spark.createDataFrame(old, PAPER_SCHEMA), spark.createDataFrame([r | {"batch_no": 1} for r in new], PAPER_SCHEMA + ", batch_no int")).collect()}
     assert got[5000] == 2 and got[5002] == 1000 and got[5001] in (2, 400) and set(got) <= {5000, 5001, 5002, 5003}
+
+
+def test_candidates_of_common_titles_and_places(spark):
+    blank = {k: None for k in ("authors_json", "issue_id", "issn", "first_page", "final_page", "publication_year", "registered_at")}
+    a = [_paper(i, "Recent Court Rulings", 1, **blank) for i in range(70)] + [_paper(100 + i, f"{i} alpha {i * 31}", 1, authors_json='["Kim, A."]') for i in range(70)]
+    b = [_paper(1000, "Recent Court Ruligs", 1, **blank), _paper(1001, "wholly unlike that", 1, authors_json='["Zz, Q."]', issn=None)]
+    x, y = (_encode(spark.createDataFrame(r, PAPER_SCHEMA)) for r in (a, b))
+    got = {(r["a_id"], r["b_id"]) for r in candidates(x, y).collect()}
+    assert got == {(i, 1000) for i in range(70)} | {(100 + i, 1001) for i in range(70)}
