@@ -281,6 +281,19 @@ def subject_codes(spark, d):
     return p.select("ord", F.array_join(F.array_sort(X.subject_codes("subject_code")), "|").alias("codes"))
 
 
+_ALL_CODES = f"CASE WHEN json_valid(subject_code) AND ltrim(subject_code) LIKE '[%' THEN list_filter(list_transform(json_extract(subject_code, '$[*]'), lambda x: trim(coalesce(CASE WHEN json_type(x) = 'OBJECT' THEN json_extract_string(x, '$.code') ELSE json_extract_string(x, '$') END, ''))), lambda x: x <> '') ELSE {_CODES} END"
+
+
+@query("subject_codes_all", f"SELECT ord, array_to_string(list_sort(list_distinct({_ALL_CODES})), '|') AS codes FROM normalized_papers")
+def subject_codes_all(spark, d):
+    return papers(spark, d).select("ord", F.array_join(F.array_sort(X.subject_codes("subject_code")), "|").alias("codes"))
+
+
+@query("subject_codes_allowed", f"SELECT ord FROM normalized_papers WHERE list_has_any({_ALL_CODES}, ['1700', '3308', '법학'])")
+def subject_codes_allowed(spark, d):
+    return L.allowed_codes(papers(spark, d), ("1700", "3308", "법학")).select("ord")
+
+
 @query("year_range", "SELECT ord FROM normalized_papers WHERE publication_year BETWEEN 2018 AND 2022")
 def year_range(spark, d):
     return L.year_range(papers(spark, d), 2018, 2022).select("ord")

@@ -39,3 +39,16 @@ def test_oracle(spark, name):
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_subject_codes_of_every_row(spark):
+    import json
+
+    rows = core.papers(spark, DATA).select("ord", "subject_code").collect()
+    assert any((r["subject_code"] or "").startswith("[") for r in rows)
+    got = {r["ord"]: r["codes"] for r in core.QUERIES["subject_codes_all"](spark, DATA).collect()}
+    for r in rows:
+        v = r["subject_code"] or ""
+        codes = [x["code"] if isinstance(x, dict) else x for x in json.loads(v)] if v.startswith("[") else v.replace("|", ";").split(";")
+        assert got[r["ord"]] == "|".join(sorted({c.strip() for c in codes if c and c.strip()}))
+    assert len(got) == len(rows)
