@@ -1,13 +1,15 @@
 """Fill containers of fixed capacity with texts, with little unused space.
 
 Texts longer than the capacity are cut into full containers and a rest; nothing else is cut.  What remains is packed by bin
-completion: the largest text left opens a container, the undominated fillings of the space around it are enumerated, and
-branch-and-bound follows the best of them, leaving a branch when its waste already rules out fewer containers than the
-incumbent.  The first incumbent is the best-fit-decreasing packing, so a search that ends at its node budget still returns a
-complete packing.
+completion: the largest text left opens a container, and the undominated fillings of the space around it are the branches.  A
+filling is dominated if a text left out could take the place of some of its texts and leave less space.  A branch ends when its
+waste rules out fewer containers than the incumbent has; the first incumbent is the best-fit-decreasing packing.  The search
+goes back over its choices until it meets the lower bound (the sum of sizes over the capacity), has tried every branch, or has
+opened its budget of containers, so it always returns a complete packing; ``bin_completion`` also says whether that is proven best.
 
 Scale.  Texts are dealt by hash into groups of about GROUP items (merged per capacity), each packed in its own task; the waste of
-dealing is at most one container per group.  Only ids and sizes are shuffled.
+dealing is at most one container per group.  Only ids and sizes are shuffled.  Equal sizes are one entry with a count, so a group of
+many equal texts is as cheap as one of few.
 """
 
 from __future__ import annotations
@@ -20,7 +22,10 @@ from pyspark.sql import functions as F
 
 from paperloom.session import bounded_rows, cut
 
-GROUP, FILL_NODES, BRANCHES, SEARCH, MAX_SPECS = 2000, 600, 2, 4, 1000
+GROUP, MAX_SPECS = 2000, 1000
+# What a search may spend on a group (bin packing is NP-hard): steps on the fillings of one container, fillings kept of it, and
+# containers opened, REOPEN + REPEAT times those of the incumbent.
+FILL_STEPS, FILLINGS, REOPEN, REPEAT = 800, 6, 200, 2
 
 
 def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
@@ -41,94 +46,160 @@ def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
     return out
 
 
-def fillings(values: list[int], counts: dict[int, int], space: int, want: int, budget: int) -> list[tuple[int, list[int]]]:
-    """Undominated fillings of a space: (waste, sizes), least waste first, at most ``want``.
-
-    Sizes are tried from large to small, so of fillings of equal waste those with the larger items (which dominate) come first;
-    a filling that leaves room for another item is never emitted.  The search ends early at a perfect filling.
-    """
-    best: list[tuple[int, list[int]]] = []
-    nodes = budget
-    chosen: list[int] = []
-    small = values[0] if values else 0
-
-    def go(hi: int, left: int) -> bool:
-        nonlocal nodes
-        nodes -= 1
-        k = bisect.bisect_right(values, left, 0, hi) - 1
-        any_fit = False
-        while k >= 0:
-            v = values[k]
-            if counts[v] > 0:
-                any_fit = True
-                # what is left after this size can't be filled better than to the waste already known
-                counts[v] -= 1
-                chosen.append(v)
-                done = go(k + 1, left - v)
-                chosen.pop()
-                counts[v] += 1
-                if done or nodes <= 0:
-                    return done
-                if len(best) >= want and best[-1][0] == 0:
-                    return True
-            k -= 1
-        if not any_fit and (len(best) < want or left < best[-1][0]):
-            best.append((left, list(chosen)))
-            best.sort(key=lambda x: x[0])
-            del best[want:]
-            return len(best) == want and best[-1][0] == 0
+def _dominated(chosen: list[tuple[int, int]], waste: int, left_out: list[int]) -> bool:
+    """Whether a size left out fits where texts of the filling (together no larger) were, leaving less space."""
+    if not waste:
         return False
-
-    if space >= small > 0:
-        go(len(values), space)
-    return best or [(space, [])]
-
-
-def bin_completion(sizes: list[int], capacity: int) -> list[list[int]]:
-    """Packing of items that each fit; every item is in exactly one container."""
+    if left_out and left_out[-1] <= waste:
+        return True
+    sums = 1  # bit t: some of the chosen texts have t tokens together
+    for v, k in chosen:
+        take, unit = k, 1
+        while take > 0:  # k equal texts as powers of two
+            unit = min(unit, take)
+            sums |= sums << (v * unit)
+            take -= unit
+            unit *= 2
+    window = (1 << waste) - 1
+    return any((sums >> (x - waste)) & window for x in left_out)
+
+
+def fillings(values: list[int], counts: dict[int, int], space: int, worst: int, want: int = FILLINGS, steps: int = FILL_STEPS) -> tuple[list[tuple[int, list[tuple[int, int]]]], bool]:
+    """Undominated fillings of a space with a waste of at most ``worst``: ([(waste, [(size, how many)])], all of them?).
+
+    values: the sizes that are there, ascending; the least waste comes first, at most ``want`` are kept.  Large sizes and many of
+    them are tried first; a branch that can't use up the space to within ``worst`` is left.  Stops at the first perfect filling if one is wanted.
+    """
+    desc = [v for v in reversed(values) if v <= space]
+    rest = [0] * (len(desc) + 1)  # what all sizes from here on hold
+    for i in range(len(desc) - 1, -1, -1):
+        rest[i] = rest[i + 1] + desc[i] * counts[desc[i]]
+    neg = [-v for v in desc]
+    best: list[tuple[int, list[tuple[int, int]]]] = []
+    chosen: list[tuple[int, int]] = []
+    frames: list[list[int]] = []  # index of the size, how many are taken, space before
+
+    def enter(i: int, left: int) -> None:
+        """Goes down from size i on, taking as many as fit, until nothing fits; then the filling is judged."""
+        nonlocal worst
+        while True:
+            i = max(i, bisect.bisect_left(neg, -left))
+            if left - rest[i] > worst:
+                return
+            if i == len(desc):
+                break
+            v = desc[i]
+            k = min(counts[v], left // v)
+            frames.append([i, k, left])
+            chosen.append((v, k))
+            left -= k * v
+            i += 1
+        have = dict(chosen)
+        fill = [c for c in chosen if c[1]]
+        if not _dominated(fill, left, [v for v in desc if counts[v] > have.get(v, 0)]):
+            bisect.insort(best, (left, fill), key=lambda x: x[0])
+            if len(best) > want:
+                best.pop()
+            if len(best) == want:
+                worst = min(worst, best[-1][0] - 1)
+
+    enter(0, space)
+    while frames and worst >= 0 and steps > 0:
+        i, k, left = frames[-1]
+        chosen.pop()
+        if not k:
+            frames.pop()
+            continue
+        steps -= 1
+        frames[-1][1] = k - 1
+        chosen.append((desc[i], k - 1))
+        enter(i + 1, left - (k - 1) * desc[i])
+    return best, not frames and len(best) < want
+
+
+def bin_completion(sizes: list[int], capacity: int) -> tuple[list[list[int]], bool]:
+    """(packing of items that each fit, every item in exactly one container; whether no packing has fewer containers)."""
     incumbent = best_fit(sizes, capacity)
     bound = -(-sum(sizes) // capacity)
     if len(incumbent) <= bound:
-        return incumbent
-    allowed = SEARCH
-
-    def run(deviate: int) -> list[list[int]] | None:
-        """One dive; ``deviate`` is the container at which the second-best filling is followed (-1: nowhere)."""
-        counts: dict[int, int] = {}
-        for s in sizes:
-            counts[s] = counts.get(s, 0) + 1
-        values = sorted(counts)
-        packed: list[list[int]] = []
-        waste, most = 0, (len(incumbent) - 1) * capacity - sum(sizes)
+        return incumbent, True
+    counts: dict[int, int] = {}
+    for s in sizes:
+        counts[s] = counts.get(s, 0) + 1
+    values = sorted(counts)
+
+    def take(v: int, k: int) -> None:
+        counts[v] -= k
+        if not counts[v]:
+            del values[bisect.bisect_left(values, v)]
+
+    def give(v: int, k: int) -> None:
+        if not counts[v]:
+            bisect.insort(values, v)
+        counts[v] += k
+
+    # containers opened on the way down: its largest text, fillings still to try, the one in use, waste before
+    path: list[list] = []
+    budget = REOPEN + REPEAT * len(incumbent)
+    waste, whole, allowed = 0, True, (len(incumbent) - 1) * capacity - sum(sizes)
+
+    def descend() -> list[list[int]] | None:
+        """Opens containers down from here; a complete packing, or None at a dead end."""
+        nonlocal waste, whole, budget
         while values:
+            if budget <= 0:
+                whole = False
+                return None
+            budget -= 1
             top = values[-1]
-            counts[top] -= 1
-            if not counts[top]:
-                values.pop()
-            options = fillings(values, counts, capacity - top, BRANCHES if len(packed) == deviate else 1, FILL_NODES)
-            w, fill = options[-1] if len(packed) == deviate else options[0]
-            for v in fill:
-                counts[v] -= 1
-                if not counts[v]:
-                    del values[bisect.bisect_left(values, v)]
-            packed.append([top, *fill])
-            waste += w
-            if waste > most and values:  # no fewer containers than the incumbent can come of it
+            take(top, 1)
+            first, complete = fillings(values, counts, capacity - top, allowed - waste, want=1)
+            if not first:
+                whole = whole and complete
+                give(top, 1)
                 return None
-        return packed
+            w, fill = first[0]
+            path.append([top, None, fill, waste])  # the other fillings are enumerated when the search comes back here
+            for v, k in fill:
+                take(v, k)
+            # the last container's space is no waste yet: the bound counts it
+            waste += w
+        return [[t, *(v for v, k in fill for _ in range(k))] for t, _, fill, _ in path]
 
-    best = None
-    for d in range(-1, allowed):
-        got = run(d)
-        if got is not None and len(got) < len(incumbent):
-            best = got
+    found = descend()
+    while True:
+        if found is not None and len(found) < len(incumbent):
             where: dict[int, list[int]] = {}
             for i, s in enumerate(sizes):
                 where.setdefault(s, []).append(i)
-            incumbent = [[where[s].pop() for s in c] for c in best]
+            incumbent = [[where[s].pop() for s in c] for c in found]
+            allowed = (len(incumbent) - 1) * capacity - sum(sizes)
             if len(incumbent) <= bound:
+                return incumbent, True
+        if budget <= 0:
+            return incumbent, False
+        # back to the last container with another filling to try
+        while path:
+            top, options, fill, before = path[-1]
+            for v, k in fill:
+                give(v, k)
+            waste = before
+            if options is None:
+                options, complete = fillings(values, counts, capacity - top, allowed - waste)
+                whole = whole and complete
+                options = path[-1][1] = [o for o in options if o[1] != fill]
+            if options and before + options[0][0] <= allowed:
+                w, fill = options.pop(0)
+                path[-1][2] = fill
+                for v, k in fill:
+                    take(v, k)
+                waste += w
                 break
-    return incumbent
+            path.pop()
+            give(top, 1)
+        if not path:
+            return incumbent, whole
+        found = descend()
 
 
 def pack(docs: DataFrame, specs: DataFrame, size: str = "n_tokens", id_col: str = "doc_id", group: int = GROUP) -> DataFrame:
@@ -153,7 +224,7 @@ def pack(docs: DataFrame, specs: DataFrame, size: str = "n_tokens", id_col: str
 
     def fill(key, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["id", "piece"]).reset_index(drop=True)
-        c = bin_completion([int(v) for v in pdf["n"]], int(pdf["cap"].iloc[0]))
+        c, _ = bin_completion([int(v) for v in pdf["n"]], int(pdf["cap"].iloc[0]))
         no = [0] * len(pdf)
         for k, members in enumerate(c):
             for i in members:
@@ -168,7 +239,8 @@ def pack(docs: DataFrame, specs: DataFrame, size: str = "n_tokens", id_col: str
 
 
 def usage(packed: DataFrame, specs: DataFrame) -> DataFrame:
-    """spec_id, containers, tokens, unused_share."""
+    """spec_id, containers, least (no packing can have fewer), tokens, unused_share."""
     by = packed.groupBy("spec_id", "container_id").agg(F.sum("n_tokens").alias("t")).groupBy("spec_id").agg(F.count("*").alias("containers"), F.sum("t").alias("tokens"))
+    cap = F.col("capacity_tokens")
     return by.join(specs.select("spec_id", "capacity_tokens"), "spec_id").select(
-        "spec_id", "containers", "tokens", (1 - F.col("tokens") / (F.col("containers") * F.col("capacity_tokens"))).alias("unused_share"))
+        "spec_id", "containers", F.ceil(F.col("tokens") / cap).cast("bigint").alias("least"), "tokens", (1 - F.col("tokens") / (F.col("containers") * cap)).alias("unused_share"))

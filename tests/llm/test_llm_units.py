@@ -67,7 +67,7 @@ def test_packing_is_whole_and_tight(seed):
     rng = random.Random(seed)
     cap = 100
     sizes = [rng.randint(1, 60) for _ in range(rng.randint(0, 120))]
-    got = P.bin_completion(sizes, cap)
+    got, _ = P.bin_completion(sizes, cap)
     assert sorted(i for c in got for i in c) == list(range(len(sizes)))
     assert all(sum(sizes[i] for i in c) <= cap for c in got)
     assert len(got) <= len(P.best_fit(sizes, cap))
@@ -75,8 +75,46 @@ def test_packing_is_whole_and_tight(seed):
 
 def test_packing_reaches_the_optimum_where_best_fit_does_not():
     sizes, cap = [6, 5, 5, 4, 4, 3, 3], 10  # 30 in three containers: 6+4, 5+5, 4+3+3
-    assert len(P.bin_completion(sizes, cap)) == 3
-    assert P.bin_completion([], 5) == [] and P.bin_completion([5, 5], 5) in ([[0], [1]], [[1], [0]])
+    assert len(P.bin_completion(sizes, cap)[0]) == 3
+    assert P.bin_completion([], 5) == ([], True) and P.bin_completion([5, 5], 5)[0] in ([[0], [1]], [[1], [0]])
+    # many equal texts: counted, not walked through
+    for many, cap, want in (([1] * 5000, 2048, 3), ([2] * 2001, 2001, 3), ([1] * 2001, 2001, 1)):
+        assert len(P.bin_completion(many, cap)[0]) == want
+
+
+def test_packing_against_brute_force():
+    def best(sizes, cap):
+        most = [len(sizes)]
+
+        def go(i, bins):
+            if len(bins) >= most[0]:
+                return
+            if i == len(sizes):
+                most[0] = len(bins)
+                return
+            for k in {b: k for k, b in enumerate(bins) if b + sizes[i] <= cap}.values():
+                bins[k] += sizes[i]
+                go(i + 1, bins)
+                bins[k] -= sizes[i]
+            go(i + 1, [*bins, sizes[i]])
+
+        go(0, [])
+        return most[0]
+
+    rng = random.Random(3)
+    for _ in range(120):
+        cap = rng.choice([20, 50, 100])
+        sizes = sorted((rng.randint(1, cap - 1) if rng.random() < 0.5 else rng.randint(cap // 5, cap // 2) for _ in range(rng.randint(1, 10))), reverse=True)
+        got, proven = P.bin_completion(sizes, cap)
+        assert proven and len(got) == best(sizes, cap)
+
+
+def test_undominated_fillings():
+    counts = {2: 1, 3: 1, 4: 1, 7: 1}
+    got, complete = P.fillings(sorted(counts), counts, 8, 8)
+    # 4+2 gives way to 4+3, 3+2 to 4+3, smaller ones to what still fits
+    assert complete and [(w, [v for v, _ in f]) for w, f in got] == [(1, [7]), (1, [4, 3])]
+    assert P.fillings([3], {3: 2}, 2, 2) == ([(2, [])], True) and P.fillings([3], {3: 2}, 7, 0) == ([], True)
 
 
 def test_isotonic_against_brute_force():
