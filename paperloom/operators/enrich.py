@@ -11,9 +11,16 @@ from paperloom.schema import EXPORT
 _EMPTY = "array<string>"
 
 
+def one_detail(detail: DataFrame, key: str) -> DataFrame:
+    """One detail per key: that with the most keywords, of equal ones the greatest by its columns."""
+    cols = [c for c in detail.columns if c != key]
+    n = [F.size(F.coalesce("keywords", F.array().cast(_EMPTY)))] if "keywords" in cols else []
+    return detail.groupBy(key).agg(F.max_by(F.struct(*cols), F.struct(*n, *cols)).alias("r_")).select(key, "r_.*")
+
+
 def add_keywords(papers: DataFrame, detail: DataFrame, key: str = "source_id") -> DataFrame:
     """Left lookup of one detail per key; its keywords are added when new (folded), and kept as real_keywords."""
-    d = detail.groupBy(key).agg(F.max_by("keywords", F.size("keywords")).alias("real_keywords"))
+    d = one_detail(detail.select(key, "keywords"), key).withColumnRenamed("keywords", "real_keywords")
     x = papers.join(d, key, "left")
     return x.withColumn("keywords", X.union_folded("keywords", "real_keywords")).select(*papers.columns, "real_keywords")
 
@@ -25,7 +32,7 @@ def stored_keywords(papers: DataFrame) -> DataFrame:
 
 def backfill_keywords(stored: DataFrame, detail: DataFrame, key: str = "source_id") -> DataFrame:
     """Rows without keywords take those of their detail; others stay."""
-    d = detail.filter(F.size("keywords") > 0).groupBy(key).agg(F.max_by("keywords", F.size("keywords")).alias("new_"))
+    d = one_detail(detail.filter(F.size("keywords") > 0).select(key, "keywords"), key).withColumnRenamed("keywords", "new_")
     x = stored.join(d, key, "left")
     return x.withColumn("keywords", F.when(F.size("keywords") > 0, F.col("keywords")).otherwise(F.coalesce("new_", "keywords"))).select(*stored.columns)
 
@@ -44,7 +51,7 @@ def merge_subjects(stored: Column, areas: Column) -> Column:
 def add_detail(papers: DataFrame, detail: DataFrame, key: str = "source_id") -> DataFrame:
     """Fills what is missing from the detail; publisher and payload of the detail replace what is there."""
     names = {c: F.col(c).alias(f"d_{c}") for c in detail.columns if c != key}
-    x = papers.join(detail.dropDuplicates([key]).select(key, *names.values()), key, "left")
+    x = papers.join(one_detail(detail, key).select(key, *names.values()), key, "left")
     fill = lambda a, b: F.when(X.nonempty(a).isNull(), F.coalesce(X.nonempty(b), F.col(a))).otherwise(F.col(a))
     no_title = X.nonempty("title").isNull() & X.nonempty("d_title").isNotNull()
     no_abs = X.nonempty("abstract").isNull() & X.nonempty("d_abstract").isNotNull()

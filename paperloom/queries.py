@@ -384,11 +384,12 @@ def new_rows_anti(spark, d):
 
 
 @query("upsert_merge", """
-WITH b AS (SELECT source_id, max(id) AS id FROM corpus_batches GROUP BY 1)
-SELECT source_id, id FROM kci_corpus WHERE source_id NOT IN (SELECT source_id FROM b) UNION ALL SELECT source_id, id FROM b""")
+WITH b AS (SELECT source_id, title, id FROM (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY id DESC) AS rn FROM corpus_batches) WHERE rn = 1)
+SELECT source_id, title, id FROM kci_corpus c WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.source_id = c.source_id) UNION ALL SELECT source_id, title, id FROM b""")
 def upsert_merge(spark, d):
-    b = table(spark, d, "corpus_batches").groupBy("source_id").agg(F.max("id").alias("id"))
-    return T.upsert(table(spark, d, "kci_corpus").select("source_id", "id"), b)
+    # keys recur in the batches: the last row counts
+    b = table(spark, d, "corpus_batches").select("source_id", "title", "id")
+    return T.upsert(table(spark, d, "kci_corpus").select("source_id", "title", "id"), b, order="id")
 
 
 @query("id_multimap", "SELECT source_id, count(*) AS n, string_agg(cast(ord AS VARCHAR), ',' ORDER BY ord) AS ords FROM normalized_papers GROUP BY 1 HAVING count(*) > 1")

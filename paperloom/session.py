@@ -35,10 +35,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Set a local checkpoint folder only where the session names none (tests)."""
+    """The folder that the session names; a machine-local one only in local mode (tests): on a cluster it must be named."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local") or sc.master.startswith("local-cluster") and not named:
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="paperloom-ckpt-"))
 
 
@@ -56,17 +58,18 @@ def bounded_rows(df: DataFrame, limit: int, what: str) -> list:
     return rows
 
 
-SMALL = 1 << 30
+SPREAD_BELOW = 1 << 30
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, below: int = SPREAD_BELOW) -> DataFrame:
     """A scan of few, small files dealt out to all cores; for work that costs far more than moving its rows.
 
-    A file may be one row group and then is one task, however the splits are set.  Larger inputs, and those of many files, stay as they are.
+    A file may be one row group and then is one task, however the splits are set.  Inputs of ``below`` bytes and more (0: all), and those
+    of many files, stay as they are; the rows are the same either way.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size >= SMALL or len(df.inputFiles()) >= 2 * cores:
+    if size >= below or len(df.inputFiles()) >= 2 * cores:
         return df
     return df.repartition(2 * cores)
 

@@ -149,6 +149,29 @@ def test_store(spark, tmp_path):
     assert [r["n"] for r in ids] == list(range(1, 101))
     with pytest.raises(FileNotFoundError):
         s.read("none")
+    s.clear("t")
+    assert s.read("t").count() == 0 and s.read("t").columns == ["source_id", "v"]
+
+
+def test_store_versions(spark, tmp_path):
+    s = Store(spark, str(tmp_path), buckets=8)
+    rows = lambda *x: spark.createDataFrame(list(x), "source_id string, at int, v string")
+    s.upsert("t", rows(*((f"k{i}", 1, "old") for i in range(60))))
+    begun, before = s.read("t"), s._current("t")["parts"]
+    # repeated keys in any order of arrival: the last by the order column stays
+    for part in (rows(("k1", 3, "c"), ("k1", 2, "b"), (None, 1, "x")), rows(("k1", 2, "b"), (None, 1, "x"), ("k1", 3, "c")).repartition(3)):
+        s.upsert("t", part, order="at")
+        assert {(r["at"], r["v"]) for r in s.read("t").filter("source_id = 'k1'").collect()} == {(3, "c")}
+    after = s._current("t")["parts"]
+    assert sum(before.get(b) != after[b] for b in after) <= 2 < len(after)  # other buckets are not rewritten
+    assert begun.filter("v = 'old'").count() == 60  # a reader that had begun keeps its version
+    tie = upsert(rows(("a", 0, "s")), rows(("a", 1, "p"), ("a", 1, "q")).repartition(2), order="at").collect()
+    assert [tuple(r) for r in tie] == [("a", 1, "q")]
+    with pytest.raises(FileExistsError):
+        s._files.put_new(f"t/v-{max(s._versions('t')):012d}.json", "{}")
+    n = s.read("t").count()
+    s.vacuum("t", keep=1)
+    assert len(s._versions("t")) == 1 and s.read("t").count() == n
 
 
 def _raw(spark, n, start=0):
