@@ -3,18 +3,25 @@
 Every record becomes a vector (signed feature hashing of its place, names, identifiers and title q-grams) and a row of exact
 features.  History is cut into segments of about SHARD_SIZE records; each gets a navigable small-world graph: near
 neighbours, their reverse links and a few long-range links.  A batch is indexed as a shard of its own and searched with a beam
-in every shard; when a shard is built, its beam is widened until its recall against exhaustive search on retyped members reaches TARGET.  What the beam finds
-is reranked with the exact features, which the shard holds too.  A query whose beam has a match in its worse half, so that more may
-lie beyond it, is compared with the whole shard.  Equal source_ids are matched by a join.  What is hit in the history is then searched
-itself, until no smaller id of a paper turns up.  After COMPACT_EVERY batches the small shards are merged and their graphs rebuilt.
-
-Scale.  Building is linear in the history (neighbours are sought in cells of bounded size), searching is one row per
-(shard, block of queries), joined on the shard's number.  Copies that differ in source_id at most share one node, so hot groups of
-copies do not clot a graph; a crowd of unlike copies costs each query that meets it one pass over the shard.  Shards are tables in the shared checkpoint folder: a lost executor costs a re-run of its tasks.
+in every shard.  When a shard is built, its beam is widened until its recall against exhaustive search on retyped members reaches
+TARGET; the recall is stored with the shard, and a shard that no beam is good for is searched exhaustively.  What the beam finds is
+reranked with the exact features, which the shard holds too.  A query whose beam has a match in its worse half, so that more may
+lie beyond it, is compared with the whole shard.  Equal source_ids are looked up in a sorted list that each shard has.  What is
+hit is then searched itself if it never was, until no smaller id of a paper turns up.  After COMPACT_EVERY batches the small shards are merged and
+their graphs rebuilt.
+
+The index lies in a folder: encoded records, shards, links found so far, and numbered manifests that say which of these belong to it.
+``ShardedIndex.open`` takes it up again in a later run, and ``accept`` adds a batch without reading the records behind the shards.
+
+Scale.  Building is linear in the history (neighbours are sought in cells of bounded size).  A batch is dealt into blocks of about BLOCK
+queries; shards are scanned where they lie and the blocks are broadcast to them if the batch has MAX_BROADCAST records at most (about
+700 bytes each), else both are shuffled by the shard's number.  Copies that differ in source_id at most share one node, so hot groups of copies do not clot a
+graph; a crowd of unlike copies costs each query that meets it one pass over the shard.  A lost executor costs a re-run of its tasks.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
 import zlib
@@ -22,15 +29,17 @@ import zlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from paperloom.llm.linkage import clean_title, families, part_number, qgram_bits
 from paperloom.session import cut, ensure_checkpoint_dir
+from paperloom.sources.store import Folder
 
-DIM, SHARD_SIZE, BLOCK, NEAR, BACK, FAR = 96, 32768, 2048, 12, 28, 4
+DIM, SHARD_SIZE, BLOCK, NEAR, BACK, FAR = 96, 32768, 512, 12, 28, 4
 CELL, DIVISIONS = 1024, 3
-BEAM, TARGET, PROBE_EVERY, MAX_PROBES, MAX_BEAM, OPEN = 32, 0.995, 32, 512, 1024, 4
+BEAM, TARGET, PROBE_EVERY, OPEN = 32, 0.995, 32, 4
+MAX_BROADCAST = 65_536
 COMPACT_EVERY = 5
 TAGS = re.compile(r"^\W*(정정|토론|논평|반론|회신|정오표|서평|correction|corrigendum|erratum|discussion|comment|reply|response)\b|[\[(](정정|토론|논평|반론|회신|정오표|correction|corrigendum|erratum|discussion|comment|reply|response)[\])]", re.IGNORECASE)
 _HANGUL = re.compile("[가-힣]")
@@ -272,53 +281,75 @@ def beam_search(x: np.ndarray, links: np.ndarray, q: np.ndarray, beam: int, entr
     return ids if before is None else np.concatenate((ids, older), axis=1)
 
 
-def tuned_beam(x: np.ndarray, links: np.ndarray, probe: np.ndarray, entries: np.ndarray) -> int:
-    """The first beam of BEAM, 2 BEAM, … that finds what exhaustive search finds, for TARGET of the probes."""
-    beam = BEAM
+def tuned_beam(x: np.ndarray, links: np.ndarray, probe: np.ndarray, entries: np.ndarray) -> tuple[int, float]:
+    """The first beam of BEAM, 2 BEAM, … that finds what exhaustive search finds, for TARGET of the probes, and its recall.
+
+    A beam of half the shard and more is as wide as the shard, which then is searched exhaustively.  Without probes the beam is 2 BEAM.
+    """
+    beam, n = BEAM, len(x)
     if not len(probe):
-        return 2 * beam
-    truth = (probe @ x.T).max(axis=1)
-    while True:
-        got = beam_search(x, links, probe, beam, entries)[:, 0]
+        return 2 * beam, 1.0
+    parts = [probe[at : at + 512] for at in range(0, len(probe), 512)]
+    truth = np.concatenate([(p @ x.T).max(axis=1) for p in parts])
+    while 2 * beam < n:
+        got = np.concatenate([beam_search(x, links, p, beam, entries)[:, 0] for p in parts])
         recall = float((np.einsum("md,md->m", probe, x[got]) >= truth - 1e-5).mean())
-        if recall >= TARGET or beam >= min(MAX_BEAM, len(x)):
-            return beam
+        if recall >= TARGET:
+            return beam, recall
         beam *= 2
+    return n, 1.0
+
 
+PARTS = (("ids", np.int64, 1), ("vec", np.float32, DIM), ("feat", np.int64, len(FEATS)), ("bits", np.int64, 20), ("links", np.int32, NEAR + BACK + FAR))
+SIDS = (("sid", np.int64), ("sid_id", np.int64), ("sid_node", np.int32))
 
-def _pack(ids, vec, feat, bits, links) -> bytes:
-    n = len(ids)
-    return b"".join((np.int64(n).tobytes(), ids.astype(np.int64).tobytes(), vec.astype(np.float32).tobytes(), feat.astype(np.int64).tobytes(), bits.astype(np.int64).tobytes(), links.astype(np.int32).tobytes()))
+
+def _pack(ids, vec, feat, bits, links, sids) -> bytes:
+    head = np.array([len(ids), len(sids[0])], np.int64).tobytes()
+    return b"".join((head, *(v.astype(t).tobytes() for v, (_, t, _) in zip((ids, vec, feat, bits, links), PARTS)), *(v.astype(t).tobytes() for v, (_, t) in zip(sids, SIDS))))
 
 
 def _unpack(b: bytes):
-    n = int(np.frombuffer(b, np.int64, 1)[0])
-    at = 8
-    out = []
-    for t, w in ((np.int64, 1), (np.float32, DIM), (np.int64, len(FEATS)), (np.int64, 20), (np.int32, NEAR + BACK + FAR)):
-        size = n * w * np.dtype(t).itemsize
+    """ids, vectors, features, bits, links of the nodes; (source_id, id, node) of the records with a source_id, sorted."""
+    n, m = np.frombuffer(b, np.int64, 2).tolist()
+    at, out, sids = 16, [], []
+    for _, t, w in PARTS:
         out.append(np.frombuffer(b, t, n * w, at).reshape(n, w) if w > 1 else np.frombuffer(b, t, n, at))
-        at += size
-    return out
+        at += n * w * np.dtype(t).itemsize
+    for _, t in SIDS:
+        sids.append(np.frombuffer(b, t, m, at))
+        at += m * np.dtype(t).itemsize
+    return *out, tuple(sids)
 
 
 def _entries(n: int) -> np.ndarray:
     return np.unique(np.linspace(0, n - 1, max(16, int(3 * n**0.5))).astype(np.int64))
 
 
+SHARD = "shard bigint, n bigint, beam int, probes int, recall double, data binary"
+
+
 def _shard(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values("id")
-    # copies under whatever source_id share the node of the smallest id; equal source_ids are not the graph's matter
-    pdf["feat"] = [bytes(8) + f[8:] for f in pdf["feat"]]
-    pdf = pdf.drop_duplicates(subset=["feat", "bits"], keep="first")
-    vec = np.frombuffer(b"".join(pdf["vec"]), np.float32).reshape(-1, DIM)
-    feat = np.frombuffer(b"".join(pdf["feat"]), np.int64).reshape(-1, len(FEATS))
-    bits = np.frombuffer(b"".join(pdf["bits"]), np.int64).reshape(-1, 20)
+    pdf = pdf.sort_values("id").reset_index(drop=True)
+    # copies under whatever source_id share the node of the smallest id; source_ids have a list of their own
+    bare = [bytes(8) + f[8:] for f in pdf["feat"]]
+    node, first = pd.factorize(np.array([f + t for f, t in zip(bare, pdf["bits"])], object))
+    keep = np.unique(node, return_index=True)[1]
+    ids = pdf["id"].to_numpy(np.int64)
+    sid = np.frombuffer(b"".join(f[:8] for f in pdf["feat"]), np.int64)
+    # of copies with one source_id the smallest id stands for all
+    order = np.lexsort((ids, node, sid))
+    order = order[sid[order] != 0]
+    s, k = sid[order], node[order]
+    order = order[np.concatenate(([True], (s[1:] != s[:-1]) | (k[1:] != k[:-1])))] if len(order) else order
+    vec = np.frombuffer(b"".join(pdf["vec"][keep]), np.float32).reshape(-1, DIM)
+    feat = np.frombuffer(b"".join(bare[i] for i in keep), np.int64).reshape(-1, len(FEATS))
+    bits = np.frombuffer(b"".join(pdf["bits"][keep]), np.int64).reshape(-1, 20)
     links = build_graph(vec, 17)
-    probes = [p for p in pdf["probe"] if p is not None][:MAX_PROBES]
-    beam = tuned_beam(vec, links, np.frombuffer(b"".join(probes), np.float32).reshape(-1, DIM), _entries(len(vec)))
-    data = _pack(pdf["id"].to_numpy(), vec, feat, bits, links)
-    return pd.DataFrame({"shard": [int(pdf["shard"].iloc[0])], "n": [len(pdf)], "beam": [beam], "data": [data], "probes": [list(pdf["probe"])]})
+    probes = [p for p in pdf["probe"] if p is not None]
+    beam, recall = tuned_beam(vec, links, np.frombuffer(b"".join(probes), np.float32).reshape(-1, DIM), _entries(len(vec)))
+    data = _pack(ids[keep], vec, feat, bits, links, (sid[order], ids[order], node[order]))
+    return pd.DataFrame({"shard": [int(pdf["shard"].iloc[0])], "n": [len(pdf)], "beam": [beam], "probes": [len(probes)], "recall": [recall], "data": [data]})
 
 
 # --- exact comparison ------------------------------------------------------------------------------------------------
@@ -369,13 +400,15 @@ def shard_matches(ids, x, feat, bits, links, beam: int, qid, qv, qf, qb) -> tupl
 
     A query with a match in the worse half of a full beam is compared with all nodes, as more may lie beyond the beam.
     """
-    mixed = len(ids) > 0 and ids.max() >= qid.min()
-    got = beam_search(x, links, qv, beam, _entries(len(x)), ids, qid) if mixed else beam_search(x, links, qv, beam, _entries(len(x)))
-    beam = min(beam, len(x))
+    if beam < len(x):
+        mixed = ids.max() >= qid.min()
+        got = beam_search(x, links, qv, beam, _entries(len(x)), ids, qid) if mixed else beam_search(x, links, qv, beam, _entries(len(x)))
+    else:
+        got = np.zeros((len(qid), 0), np.int64)
     r, c = np.nonzero(got >= 0)
     node = got[r, c]
     s = same_paper(qf[r], qb[r], feat[node], bits[node])
-    crowded = np.zeros(len(qid), bool)
+    crowded = np.full(len(qid), beam >= len(x))
     if beam < len(x):
         crowded[r[(s >= 0) & (c % beam >= beam // 2)]] = True
     ok = (s >= 0) & (ids[node] < qid[r]) & ~crowded[r]
@@ -390,60 +423,131 @@ def shard_matches(ids, x, feat, bits, links, beam: int, qid, qv, qf, qb) -> tupl
     return tuple(np.concatenate(v) for v in zip(*out))
 
 
+def source_matches(sids, feat, bits, qid, qf, qb, pairs: int = 1 << 18):
+    """(query row, id, score), in parts, of the records of smaller ids that share a query's source_id and compare as one paper."""
+    sid, sid_id, sid_node = sids
+    lo, hi = np.searchsorted(sid, qf[:, 0], "left"), np.searchsorted(sid, qf[:, 0], "right")
+    n = np.where(qf[:, 0] != 0, hi - lo, 0)
+    at = 0
+    while at < len(n):
+        # as many queries as make up some pairs; one query of a hot source_id may make up more
+        end = at + max(1, int(np.searchsorted(np.cumsum(n[at:]), pairs, "right")))
+        m = n[at:end]
+        r = np.repeat(np.arange(at, end), m)
+        k = np.repeat(lo[at:end] - (np.cumsum(m) - m), m) + np.arange(int(m.sum()))
+        ok = sid_id[k] < qid[r]
+        r, k = r[ok], k[ok]
+        if len(r):
+            f = feat[sid_node[k]].copy()
+            f[:, 0] = qf[r, 0]
+            s = same_paper(qf[r], qb[r], f, bits[sid_node[k]])
+            yield r[s >= 0], sid_id[k][s >= 0], s[s >= 0]
+        at = end
+
+
+LINKS = "new_id bigint, old_id bigint, score double"
+
+
 class ShardedIndex:
-    """Shards of history, appended batch by batch.  Searching reads the shards, never the records behind them."""
+    """Shards of history in a folder, appended batch by batch.  Searching reads the shards, never the records behind them."""
 
-    def __init__(self, spark, path: str | None = None, shard_size: int = SHARD_SIZE):
+    def __init__(self, spark, path: str | None = None, shard_size: int = SHARD_SIZE, block: int = BLOCK):
         ensure_checkpoint_dir(spark)
-        self.spark, self.size = spark, shard_size
+        self.spark, self.size, self.block = spark, shard_size, block
         self.path = path or f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/index-{uuid.uuid4().hex}"
-        self.parts: list[tuple[str, int, int]] = []  # folder, records, shards
-        self.made = 0
-
-    def _write(self, rows: DataFrame, n: int) -> None:
-        shards = max(1, -(-n // self.size))
-        base, self.made = self.made * 1_000_000, self.made + 1
-        keyed = rows.withColumn("shard", F.lit(base) + F.pmod(F.xxhash64("id"), F.lit(shards)))
-        folder = f"{self.path}/part-{self.made}"
-        keyed.groupBy("shard").applyInPandas(_shard, "shard bigint, n bigint, beam int, data binary, probes array<binary>").write.mode("overwrite").parquet(folder)
-        self.parts.append((folder, n, shards))
-
-    def add(self, encoded: DataFrame, n: int | None = None) -> None:
-        n = encoded.count() if n is None else n
+        self.files = Folder(spark, self.path)
+        if self.files.names("manifests"):
+            raise FileExistsError(f"{self.path} holds an index; open it")
+        self.version, self.batches = 0, 0
+        # parts: folders of records, folder of shards, records, shards; links and searched ids: folders
+        self.parts: list[dict] = []
+        self.links: list[str] = []
+        self.searched: list[str] = []
+
+    @classmethod
+    def open(cls, spark, path: str) -> ShardedIndex:
+        """The index as its last manifest says."""
+        self = cls.__new__(cls)
+        self.spark, self.path, self.files = spark, path, Folder(spark, path)
+        names = self.files.names("manifests")
+        if not names:
+            raise FileNotFoundError(f"no index in {path}")
+        m = json.loads(self.files.text(f"manifests/{names[-1]}"))
+        for k in ("size", "block", "version", "batches", "parts", "links", "searched"):
+            setattr(self, k, m[k])
+        return self
+
+    def _save(self) -> None:
+        self.version += 1
+        state = {k: getattr(self, k) for k in ("size", "block", "version", "batches", "parts", "links", "searched")}
+        self.files.put_new(f"manifests/{self.version:09d}.json", json.dumps(state))
+
+    def _read(self, folders: list[str], schema: str) -> DataFrame:
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{f}" for f in folders])
+
+    def _write(self, df: DataFrame, kind: str) -> str:
+        folder = f"{kind}-{uuid.uuid4().hex}"
+        df.write.parquet(f"{self.path}/{folder}")
+        return folder
+
+    def _build(self, records: list[str], n: int) -> dict:
+        k, base = max(1, -(-n // self.size)), (self.version + 1) * 1_000_000
+        keyed = self._read(records, ENCODED).withColumn("shard", F.lit(base) + F.pmod(F.xxhash64("id"), F.lit(k)))
+        shards = self._write(keyed.groupBy("shard").applyInPandas(_shard, SHARD), "shards")
+        return {"records": records, "shards": shards, "n": n, "base": base, "k": k}
+
+    def add(self, encoded: DataFrame) -> tuple[str, int]:
+        """Stores encoded records and their shards.  -> (folder of the records, how many)"""
+        seen = Observation()
+        folder = self._write(encoded.observe(seen, F.count(F.lit(1)).alias("n")), "records")
+        n = seen.get["n"]
         if n:
-            self._write(encoded, n)
+            self.parts.append(self._build([folder], n))
+        self._save()
+        return folder, n
 
     def compact(self) -> None:
         """Merges the parts that are smaller than a shard and rebuilds their graphs."""
-        small = [p for p in self.parts if p[1] < self.size]
+        small = [p for p in self.parts if p["n"] < self.size]
         if len(small) < 2:
             return
-
-        def rows(batches):
-            for b in batches:
-                for data, probes in zip(b.column("data").to_pylist(), b.column("probes").to_pylist()):
-                    ids, vec, feat, bits, _ = _unpack(data)
-                    yield pa.RecordBatch.from_pydict({
-                        "id": pa.array(ids), "vec": pa.array([v.tobytes() for v in vec], pa.binary()),
-                        "feat": pa.array([v.tobytes() for v in feat], pa.binary()), "bits": pa.array([v.tobytes() for v in bits], pa.binary()),
-                        "probe": pa.array(probes, pa.binary())})
-
-        merged = self.spark.read.parquet(*[p[0] for p in small]).mapInArrow(rows, ENCODED)
-        self.parts = [p for p in self.parts if p not in small]
-        self._write(merged, sum(p[1] for p in small))
-
-    def search(self, encoded: DataFrame, n: int) -> DataFrame:
-        """new_id, old_id (smaller), score: what the beams or the passes over crowded shards find and the exact comparison confirms."""
-        blocks = max(1, -(-n // BLOCK))
-        q = encoded.withColumn("block", F.pmod(F.xxhash64("id", F.lit("q")), F.lit(blocks)))
+        merged = self._build([f for p in small for f in p["records"]], sum(p["n"] for p in small))
+        self.parts = [p for p in self.parts if p not in small] + [merged]
+        self._save()
+
+    def recall(self) -> DataFrame:
+        """shard, n, beam, probes, recall: what was measured when the shards were built."""
+        return self._read([p["shards"] for p in self.parts], SHARD).drop("data")
+
+    def records(self) -> DataFrame:
+        return self._read([f for p in self.parts for f in p["records"]], ENCODED)
+
+    def search(self, encoded: DataFrame, n: int, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
+        """new_id, old_id (smaller), score: what the beams, the passes over crowded shards and the source_ids find and the exact comparison confirms."""
+        if not self.parts:
+            return self.spark.createDataFrame([], LINKS)
+        blocks = max(1, -(-n // self.block))
+        q = encoded.withColumn("block", F.pmod(F.xxhash64("id", F.lit("q")), F.lit(blocks)).cast("int"))
         q = q.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("id", "vec", "feat", "bits"))).alias("qs"))
-        shards = self.spark.read.parquet(*[p[0] for p in self.parts])
-        pairs = q.withColumn("shard", F.explode(F.array(*[F.lit(x) for x in self._ids()]))).join(shards, "shard")
+        shards = self._read([p["shards"] for p in self.parts], SHARD).select("shard", "beam", "data")
+        if n <= max_broadcast:
+            # a shard is read once, or by several tasks with some blocks each where there are fewer shards than cores
+            tasks = min(blocks, max(1, 2 * self.spark.sparkContext.defaultParallelism // max(1, sum(p["k"] for p in self.parts))))
+            pairs = None
+            for t in range(tasks):
+                part = shards.withColumn("block", F.explode(F.sequence(F.lit(t), F.lit(blocks - 1), F.lit(tasks))))
+                pairs = part if pairs is None else pairs.unionByName(part)
+            pairs = pairs.join(F.broadcast(q), "block")
+        else:
+            every = F.array(*[F.lit(p["base"] + i) for p in self.parts for i in range(p["k"])])
+            pairs = q.withColumn("shard", F.explode(every)).join(shards, "shard")
 
         def run(batches):
             for b in batches:
                 for qs, beam, data in zip(*(b.column(k).to_pylist() for k in ("qs", "beam", "data"))):
-                    ids, x, feat, bits, links = _unpack(data)
+                    ids, x, feat, bits, links, sids = _unpack(data)
                     qid = np.array([r["id"] for r in qs])
                     qv = np.frombuffer(b"".join(r["vec"] for r in qs), np.float32).reshape(-1, DIM)
                     qf = np.frombuffer(b"".join(r["feat"] for r in qs), np.int64).reshape(-1, len(FEATS))
@@ -452,33 +556,50 @@ class ShardedIndex:
                         part = slice(at, at + 512)
                         r, node, s = shard_matches(ids, x, feat, bits, links, beam, qid[part], qv[part], qf[part], qb[part])
                         yield pa.RecordBatch.from_pydict({"new_id": pa.array(qid[part][r]), "old_id": pa.array(ids[node]), "score": pa.array(s)})
+                    for r, old, s in source_matches(sids, feat, bits, qid, qf, qb):
+                        yield pa.RecordBatch.from_pydict({"new_id": pa.array(qid[r]), "old_id": pa.array(old), "score": pa.array(s)})
+
+        return pairs.select("qs", "beam", "data").mapInArrow(run, LINKS)
 
-        return pairs.select("qs", "beam", "data").mapInArrow(run, "new_id bigint, old_id bigint, score double")
+    def link(self, folder: str, n: int) -> None:
+        """Searches the records of a folder and stores the links, and that they have been searched."""
+        self.links.append(self._write(self.search(self._read([folder], ENCODED), n), "links"))
+        self.searched.append(folder)
+        self._save()
 
-    def _ids(self) -> list[int]:
-        return [(int(folder.rsplit("-", 1)[1]) - 1) * 1_000_000 + i for folder, _, k in self.parts for i in range(k)]
+    def add_batch(self, batch: DataFrame) -> None:
+        """Indexes a batch and links it to everything of smaller id; small shards are merged now and then."""
+        self.batches += 1  # stored with what follows
+        folder, n = self.add(encode(batch))
+        if n:
+            self.link(folder, n)
+        if self.batches % COMPACT_EVERY == 0:
+            self.compact()
 
+    def follow(self) -> None:
+        """Records that are hit but never were searched are searched too, then what they hit: each round reaches smaller ids."""
+        while True:
+            hit = self._read(self.links, LINKS).select(F.col("old_id").alias("id")).distinct().join(self._read(self.searched, "id bigint"), "id", "left_anti")
+            seen = Observation()
+            folder = self._write(self.records().join(hit, "id", "left_semi").observe(seen, F.count(F.lit(1)).alias("n")), "followed")
+            if not seen.get["n"]:
+                return
+            self.link(folder, seen.get["n"])
 
-def same_source(encoded: DataFrame) -> DataFrame:
-    """new_id, old_id (smaller), score of the records that share a known source_id and compare as one paper.
+    def first_ids(self) -> DataFrame:
+        """first_id, new_id: the smallest id of the paper for every record that has been linked to a smaller one."""
+        return first_ids(self._read(self.links, LINKS))
 
-    Exact copies link to the one of the smallest id, and only these are paired.
-    """
-    known = encoded.select("id", "feat", "bits", F.substring("feat", 1, 8).alias("sid")).filter(F.col("sid") != F.expr("X'0000000000000000'"))
-    lead = cut(known.groupBy("sid", "feat", "bits").agg(F.min("id").alias("lead"), F.collect_list("id").alias("ids")))
-    copies = lead.select(F.explode("ids").alias("new_id"), F.col("lead").alias("old_id"), "feat", "bits", F.col("feat").alias("feat_b"), F.col("bits").alias("bits_b")).filter("new_id > old_id")
-    a = lead.select("sid", F.col("lead").alias("new_id"), "feat", "bits")
-    b = lead.select("sid", F.col("lead").alias("old_id"), F.col("feat").alias("feat_b"), F.col("bits").alias("bits_b"))
-    pairs = a.join(b, "sid").filter("new_id > old_id").select("new_id", "old_id", "feat", "bits", "feat_b", "bits_b")
 
-    def run(batches):
-        for t in batches:
-            n = len(t)
-            fa, ba, fb, bb = (np.frombuffer(b"".join(t.column(k).to_pylist()), np.int64).reshape(n, -1 if n else w) for k, w in (("feat", len(FEATS)), ("bits", 20), ("feat_b", len(FEATS)), ("bits_b", 20)))
-            s = same_paper(fa, ba, fb, bb)
-            yield pa.RecordBatch.from_arrays([t.column("new_id"), t.column("old_id"), pa.array(s)], names=["new_id", "old_id", "score"]).filter(pa.array(s >= 0))
+def accept(index: ShardedIndex, batch: DataFrame) -> DataFrame:
+    """first_id, new_id for the records of a batch that repeat a known one; the batch is known afterwards.
 
-    return copies.unionByName(pairs).mapInArrow(run, "new_id bigint, old_id bigint, score double")
+    Reads the batch, the shards and the links found so far; of the records behind the shards those that are hit.
+    """
+    index.add_batch(batch)
+    index.follow()
+    ids = batch.select(F.col("id").cast("bigint").alias("new_id")).distinct()
+    return index.first_ids().join(ids, "new_id", "left_semi").select("first_id", "new_id")
 
 
 def first_ids(links: DataFrame, max_rounds: int = 30) -> DataFrame:
@@ -495,39 +616,17 @@ def first_ids(links: DataFrame, max_rounds: int = 30) -> DataFrame:
     raise ValueError("first_ids: labels still change; raise max_rounds")
 
 
-def repeats(history: DataFrame, batches: DataFrame, shard_size: int = SHARD_SIZE) -> DataFrame:
-    """first_id, new_id for the batch records that repeat a known one.
+def repeats(history: DataFrame, batches: DataFrame, shard_size: int = SHARD_SIZE, path: str | None = None) -> DataFrame:
+    """first_id, new_id for the batch records that repeat a known one; the index stays in ``path``.
 
     Batches are taken in their order; each is indexed, then searched in all shards.  Null attributes are unknown; the id
     ``unknown`` is none; first_id is the smallest id reached over all records of the paper, those of the history too; empty batches and an empty history give no rows.
     """
-    spark = history.sparkSession
-    index = ShardedIndex(spark, shard_size=shard_size)
-    known = cut(encode(history))
-    index.add(known, known.count())
-    per_batch = {r["batch_no"]: r["n"] for r in batches.groupBy("batch_no").agg(F.count("*").alias("n")).collect()}
-    encoded = cut(encode(batches).join(batches.select("id", "batch_no"), "id"))
-    links = None
-    for i, no in enumerate(sorted(per_batch, key=lambda x: (x is None, x)), 1):
-        batch = encoded.filter(F.col("batch_no").eqNullSafe(F.lit(no))).drop("batch_no")
-        index.add(batch, per_batch[no])
-        found = cut(index.search(batch, per_batch[no]))
-        links = found if links is None else links.unionByName(found)
-        if i % COMPACT_EVERY == 0:
-            index.compact()
-    if links is None:
-        return spark.createDataFrame([], "first_id bigint, new_id bigint")
-    links = links.unionByName(cut(same_source(known.unionByName(encoded.drop("batch_no")))))
-    # records of the history that are hit are searched too, then what they hit: each round reaches smaller ids
-    done = None
-    while True:
-        hit = links.select(F.col("old_id").alias("id")).distinct()
-        todo = known.join(hit, "id", "left_semi")
-        todo = cut(todo if done is None else todo.join(done, "id", "left_anti"))
-        n = todo.count()
-        if not n:
-            break
-        links = links.unionByName(cut(index.search(todo, n)))
-        done = todo.select("id") if done is None else done.unionByName(todo.select("id"))
+    index = ShardedIndex(history.sparkSession, path, shard_size)
+    index.add(encode(history))
+    # how many batches there are is a matter of the schedule, not of the records
+    for no in sorted((r["batch_no"] for r in batches.select("batch_no").distinct().collect()), key=lambda x: (x is None, x)):
+        index.add_batch(batches.filter(F.col("batch_no").eqNullSafe(F.lit(no))))
+    index.follow()
     ids = batches.select(F.col("id").cast("bigint").alias("new_id")).distinct()
-    return first_ids(links).join(ids, "new_id", "left_semi").select("first_id", "new_id")
+    return index.first_ids().join(ids, "new_id", "left_semi").select("first_id", "new_id")

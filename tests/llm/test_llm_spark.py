@@ -2,10 +2,11 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from paperloom.llm.increments import first_ids, repeats
+from paperloom.llm.increments import ShardedIndex, accept, encode, first_ids, repeats, same_paper
 from paperloom.llm.languages import find_languages, found
 from paperloom.llm.linkage import _encode, candidates, link
 from paperloom.llm.mixing import mix, rates, shares
@@ -214,6 +215,38 @@ def test_reading(spark):
     assert reading_levels(docs, labels.limit(0)).count() == 0
 
 
+def test_index_is_taken_up_again(spark, tmp_path):
+    """A later run adds a batch to the stored index; it is given the batch alone, and finds what all pairs compared one by one give."""
+    rng = random.Random(11)
+    words = "가나 다라 마바 사아 자차 카타 파하 거너 더러 머버".split()
+    old = [_paper(i, " ".join(rng.sample(words, 5)) + f" {i}번", i * 3 + 1, title_eng=None, issue_id=f"{i % 11}_{i % 4}", journal_id=f"J{i % 6}", source_id=f"S{i % 250}") for i in range(300)]
+    new = [rng.choice(old) | {"id": 1000 + k, "source_id": rng.choice(["unknown", f"S{k}", f"N{k}"]), "first_page": rng.choice([None, str(k)])} for k in range(60)]
+    hist, batch = spark.createDataFrame(old, PAPER_SCHEMA), spark.createDataFrame(new, PAPER_SCHEMA)
+    index = ShardedIndex(spark, str(tmp_path / "index"), shard_size=100)
+    index.add_batch(hist.filter("id < 200"))
+    index.add_batch(hist.filter("id >= 200"))
+    again = ShardedIndex.open(spark, str(tmp_path / "index"))
+    got = {(r["new_id"], r["first_id"]) for r in accept(again, batch).collect()}
+    assert all(r["recall"] >= 0.9 for r in again.recall().collect()) and again.recall().count() == 4
+    e = encode(hist.unionByName(batch)).toPandas().sort_values("id")
+    f, b = (np.frombuffer(b"".join(e[k]), np.int64).reshape(len(e), -1) for k in ("feat", "bits"))
+    first = {}
+    for i, x in enumerate(e["id"]):
+        hit = np.flatnonzero(same_paper(np.broadcast_to(f[i], f[:i].shape), np.broadcast_to(b[i], b[:i].shape), f[:i], b[:i]) >= 0)
+        if len(hit):
+            first[x] = min(first.get(y, y) for y in e["id"].iloc[hit])
+    want = {(x, y) for x, y in first.items() if x >= 1000}
+    assert len(want) > 30 and got == want
+    # a batch beyond the broadcast bound is shuffled to the shards, with the same links
+    q = encode(batch).cache()
+    assert sorted(again.search(q, 60).collect()) == sorted(again.search(q, 60, max_broadcast=0).collect())
+    assert accept(again, batch.limit(0)).count() == 0 and again.batches == 4
+    again.compact()
+    assert sorted(map(tuple, ShardedIndex.open(spark, str(tmp_path / "index")).search(q, 60).distinct().select("new_id", "old_id").collect())) == sorted(map(tuple, again.search(q, 60).distinct().select("new_id", "old_id").collect()))
+    with pytest.raises(FileExistsError):
+        ShardedIndex(spark, str(tmp_path / "index"))
+
+
 def test_repeats_of_a_crowd(spark):
     copy = _paper(0, "가나 다라 마바 사아", 7, title_eng=None, issue_id="3_1", journal_id="J1", doi=None)
     # copies under other ids, unlike copies (the page, the title), and a pair of the history that only hangs together by its second record

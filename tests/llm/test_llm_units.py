@@ -152,7 +152,10 @@ def test_graph_search_against_exhaustive():
     links = I.build_graph(x, 1)
     assert all(len(set(r[r >= 0])) == (r >= 0).sum() for r in links[:200])
     q = x[::10] + 0.02 * rng.standard_normal((300, I.DIM)).astype(np.float32)
-    beam = I.tuned_beam(x, links, q, I._entries(len(x)))
+    beam, recall = I.tuned_beam(x, links, q, I._entries(len(x)))
+    assert recall >= I.TARGET and beam < len(x)
+    # links that lead nowhere: no beam is good, so the shard is searched exhaustively
+    assert I.tuned_beam(x, np.full_like(links, -1), q, I._entries(len(x))) == (len(x), 1.0)
     got = I.beam_search(x, links, q, beam, I._entries(len(x)))[:, 0]
     assert (got == (q @ x.T).argmax(axis=1)).mean() >= 0.9
     for n in (0, 1, 2, 5):
