@@ -3,9 +3,12 @@
 Model.  A text is a run of atoms divided by possible delimiters.  Every span of atoms is an edge of a
 lattice; a parse is a path.  An edge costs -log of the frequency of its value over the whole column,
 an atom boundary -log of how likely a delimiter of that kind is to divide, given the text's main
-delimiter.  Expectation-maximisation learns the value frequencies: the first E-step divides each text
+delimiter.  A value that is not known has the base measure, BASE with INNER for each further atom; as that weight adds up
+atom by atom, the edges of unknown spans of any length are one state of the lattice ("within an unknown value"), and no span is
+left out.  Expectation-maximisation learns the value frequencies: the first E-step divides each text
 at its main delimiter, later ones take the forward-backward posteriors of the lattice.  The rows come
-from the Viterbi path.  Quoted spans are atomic.
+from the Viterbi path.  Quoted spans are atomic.  A value counts as known if it occurs beside the text at hand, so one that was
+counted once is not.
 
 Scale.  Every E-step is one pass of map-side dictionaries and a partial/final sum.  The frequencies that
 go back to the executors are those of at least ``floor`` of all values, so there are at most 1/floor of
@@ -42,6 +45,7 @@ SAME_IN, OTHER_OUT = math.log(1e-4), math.log(0.1)
 OTHER_IN = {",": math.log(0.5), "/": math.log(0.5), "·": math.log(0.5)}
 RARE_IN = math.log(1e-3)
 FLOOR = 5e-6
+NEVER, TIE = float("-inf"), 1e-9
 
 
 def _kind(sep: str) -> str:
@@ -128,6 +132,13 @@ def _key(v: str) -> str:
     return " ".join(_unquote(v).casefold().split())
 
 
+def _add(x: float, y: float) -> float:
+    """log(exp(x) + exp(y))"""
+    if x < y:
+        x, y = y, x
+    return x if y == NEVER else x + math.log1p(math.exp(y - x))
+
+
 class Splitter:
     """Scores and parses texts with the frequencies of one E-step."""
 
@@ -141,68 +152,78 @@ class Splitter:
                     h = v[spans[0][0] : spans[0][1]]
                     self.heads[h] = max(self.heads.get(h, 0), len(spans))
 
-    def _edges(self, text, spans, kinds):
-        """For each end: (start, log weight), and the log weight of a boundary after each atom."""
+    def _lattice(self, text, spans, kinds):
+        """Log weights of a boundary after each atom and of none; for each end its edges of known values: (start, value, log weight)."""
         n = len(spans)
         main = max(set(kinds), key=lambda k: (sum(x == k for x in kinds), k)) if kinds else ""
-        out = [0.0 if k in (main, "1") else OTHER_OUT for k in kinds]
-        inn = [SAME_IN if k == main else OTHER_IN.get(k, RARE_IN) for k in kinds]
-        edges = []
+        out = [*(0.0 if k in (main, "1") else OTHER_OUT for k in kinds), 0.0]
+        join = [NEVER if k == "1" else INNER + (SAME_IN if k == main else OTHER_IN.get(k, RARE_IN)) for k in kinds]
+        known: list[list[tuple[int, str, float]]] = [[] for _ in range(n + 1)]
         for i in range(n):
+            head = _key(text[spans[i][0] : spans[i][1]])
             w = 0.0
-            for j in range(i, n):
+            for j in range(i, min(n, i + max(1, self.heads.get(head, 1)))):
                 if j > i:
                     if kinds[j - 1] == "1":
                         break
-                    w += inn[j - 1]
-                v = _key(text[spans[i][0] : spans[j][1]])
-                known = self.logp.get(v)
-                if known is None:
-                    if j - i > 3 and j - i > self.heads.get(_key(text[spans[i][0] : spans[i][1]]), 0):
-                        break  # an unseen value of so many atoms weighs less than 1e-14
-                    known = BASE + (j - i) * INNER
-                edges.append((i, j + 1, v, w + known + (out[j] if j < n - 1 else 0.0)))
-        return edges
-
-    def trivial(self, text, spans, kinds) -> bool:
-        if len(set(kinds)) > 1:
-            return False
-        if not kinds or kinds[0] == "1":
-            return True
-        return not self.heads or not any(_key(text[a:b]) in self.heads for a, b in spans)
+                    w += join[j - 1] - INNER
+                v = head if j == i else _key(text[spans[i][0] : spans[j][1]])
+                if v in self.logp:
+                    known[j + 1].append((i, v, w + self.logp[v]))
+        return out, join, known
 
     def posteriors(self, text, spans, kinds) -> list[tuple[str, float]]:
-        if self.trivial(text, spans, kinds):
-            return [(_key(text[a:b]), 1.0) for a, b in spans]
-        n, edges = len(spans), self._edges(text, spans, kinds)
-        neg = float("-inf")
-
-        def add(x, y):
-            if x == neg:
-                return y
-            hi, lo = (x, y) if x > y else (y, x)
-            return hi + math.log1p(math.exp(lo - hi))
-
-        f, b = [0.0] + [neg] * n, [neg] * n + [0.0]
-        for i, j, _, w in edges:
-            f[j] = add(f[j], f[i] + w)
-        for i, j, _, w in reversed(edges):
-            b[i] = add(b[i], b[j] + w)
-        return [(v, p) for i, j, v, w in edges if (p := math.exp(f[i] + w + b[j] - f[n])) > 1e-3]
+        """Values and the probabilities of their spans, those above 1e-3."""
+        n = len(spans)
+        if n == 1:
+            return [(_key(text[spans[0][0] : spans[0][1]]), 1.0)]
+        out, join, known = self._lattice(text, spans, kinds)
+        f, opened = [0.0] + [NEVER] * n, [NEVER] * (n + 1)  # opened: within an unknown value, its last atom so far before t
+        for t in range(1, n + 1):
+            opened[t] = _add(f[t - 1] + BASE, opened[t - 1] + join[t - 2] if t > 1 else NEVER)
+            total = opened[t]
+            for i, _, w in known[t]:
+                total = _add(total, f[i] + w)
+            f[t] = total + out[t - 1]
+        b, closing = [NEVER] * n + [0.0], [NEVER] * (n + 2)  # closing: from within an unknown value to the end
+        for t in range(n, 0, -1):
+            closing[t] = _add(out[t - 1] + b[t], join[t - 1] + closing[t + 1] if t < n else NEVER)
+            for i, _, w in known[t]:
+                b[i] = _add(b[i], w + out[t - 1] + b[t])
+            # all known values from t - 1 on have been met: they end at t or later
+            b[t - 1] = _add(b[t - 1], BASE + closing[t])
+        z, found = f[n], []
+        for t in range(1, n + 1):
+            found += [(v, p) for i, v, w in known[t] if (p := math.exp(f[i] + w + out[t - 1] + b[t] - z)) > 1e-3]
+        for i in range(n):
+            w, j = f[i] + BASE - z, i + 1
+            while math.exp(w + closing[j]) > 1e-3:  # what all longer spans from here have together
+                if (p := math.exp(w + out[j - 1] + b[j])) > 1e-3:
+                    found.append((_key(text[spans[i][0] : spans[j - 1][1]]), p))
+                if j == n:
+                    break
+                w += join[j - 1]
+                j += 1
+        return found
 
     def viterbi(self, text, spans, kinds) -> list[str]:
-        if self.trivial(text, spans, kinds):
-            return [text[a:b] for a, b in spans]
         n = len(spans)
-        best, back = [0.0] + [float("-inf")] * n, [0] * (n + 1)
-        for i, j, _, w in self._edges(text, spans, kinds):
-            if best[i] + w > best[j]:
-                best[j], back[j] = best[i] + w, i
-        out, j = [], n
+        out, join, known = self._lattice(text, spans, kinds)
+        best, back = [0.0] + [NEVER] * n, [0] * (n + 1)
+        opened, since = NEVER, 0
+        for t in range(1, n + 1):
+            start, more = best[t - 1] + BASE, opened + join[t - 2] if t > 1 else NEVER
+            opened, since = (more, since) if more > start + TIE else (start, t - 1)
+            top, at = opened, since
+            for i, _, w in known[t]:
+                if best[i] + w > top + TIE or (best[i] + w > top - TIE and i > at):
+                    top, at = best[i] + w, i
+            best[t], back[t] = top + out[t - 1], at
+        cuts, j = [], n
         while j:
-            out.append(text[spans[back[j]][0] : spans[j - 1][1]])
+            cuts.append(text[spans[back[j]][0] : spans[j - 1][1]])
             j = back[j]
-        return out[::-1]
+        return cuts[::-1]
 
 
 def _by_main(text, spans, kinds) -> list[str]:
@@ -258,7 +279,7 @@ def split_packed(
     """One row per value: id, field, pos (from 1, in the order of the text), keyword.
 
     Null and blank texts give no rows, repeated values are kept, empty ones never come out, ties between
-    parses go to the one with the earlier boundary, an empty table gives an empty table, and columns other than
+    parses go to the one with the shorter last value, an empty table gives an empty table, and columns other than
     the id and the fields are not read.  A text of any length is parsed whole.
     """
     long = None

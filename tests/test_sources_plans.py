@@ -1,6 +1,8 @@
 import json
 from datetime import date
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -256,3 +258,48 @@ def test_compounds_are_learned(spark):
 def test_atoms_keep_text():
     text, spans, kinds = atoms("Key words : a;; b, c")
     assert [text[x:y] for x, y in spans] == ["a", "b", "c"] and kinds == [";", ","]
+
+
+def test_lattice_against_all_parses():
+    import itertools
+    import math
+
+    from paperloom.operators import packed as P
+
+    s = P.Splitter({"a": 5, "b": 3, "c, d": 4, "e/f": 2, "e": 9, "g; h; i": 2, "d": 1}, 26)
+
+    def every(text, spans, kinds):
+        """Posterior of each value over all parses, one by one, and the weight of the best parse."""
+        main = max(set(kinds), key=lambda k: (sum(x == k for x in kinds), k))
+        mass, best = {}, -1e9
+        for cuts in itertools.product((False, True), repeat=len(kinds)):
+            if any(k == "1" and not c for c, k in zip(cuts, kinds)):
+                continue
+            w = sum((0 if k in (main, "1") else P.OTHER_OUT) if c else (P.SAME_IN if k == main else P.OTHER_IN.get(k, P.RARE_IN)) for c, k in zip(cuts, kinds))
+            ends = [i for i, c in enumerate((*cuts, True)) if c]
+            parts = list(zip([0, *(e + 1 for e in ends)], ends))
+            values = [P._key(text[spans[x][0] : spans[y][1]]) for x, y in parts]
+            p = math.exp(w)
+            for v, (x, y) in zip(values, parts):
+                b, k = math.exp(P.BASE + (y - x) * P.INNER), math.exp(s.logp.get(v, -99))
+                p *= b + k
+                w += math.log(max(b, k))
+            best = max(best, w)
+            for v in values:
+                mass[v] = mass.get(v, 0) + p
+            mass[None] = mass.get(None, 0) + p
+        return {v: p / mass[None] for v, p in mass.items() if v is not None}, best
+
+    rng = random.Random(2)
+    for _ in range(150):
+        text, spans, kinds = atoms("".join(rng.choice("abcdefghijk") + rng.choice([", ", ", ", "; ", "/", " ;, "]) for _ in range(rng.randint(1, 7))) + "z")
+        got = {}
+        for v, p in s.posteriors(text, spans, kinds):
+            got[v] = got.get(v, 0) + p
+        want, _ = every(text, spans, kinds)
+        assert all(abs(got.get(v, 0) - p) < 5e-3 for v, p in want.items())
+        cut_ = s.viterbi(text, spans, kinds)
+        assert cut_ and [c for v in cut_ for c in v if c.isalpha()] == [c for c in text if c.isalpha()]
+    # long texts and values of many atoms: nothing is left out
+    assert len(s.viterbi(*atoms(", ".join(f"w{i}" for i in range(5000))))) == 5000
+    assert s.viterbi(*atoms("; ".join(["x", "y", "p, q, r, s, t, u", "z", "k", "l", "m", "n"]))) == ["x", "y", "p, q, r, s, t, u", "z", "k", "l", "m", "n"]
