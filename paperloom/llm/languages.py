@@ -4,7 +4,8 @@ Character n-gram models of eight languages are counted over all labelled documen
 sentences are drawn from languages with unknown proportions.  Expectation-maximisation estimates the proportions from
 the n-gram likelihoods; the set of languages is chosen by penalised likelihood (a language stays only if it explains
 the text better by more than the penalty).  Sentences take their likeliest language of the set, equal neighbours
-form a segment, and the confidence of a segment is the mean posterior of its sentences weighted by length.
+form a segment.  The confidence of a segment is the mean posterior of its sentences, weighted by length, among all
+languages and with one more sentence's worth of even proportions, so that a short or doubtful text is never quite certain.
 
 Scale.  One pass counts (a fixed table of n-gram slots per language, merged before the shuffle), one pass
 labels.  The model is languages x SLOTS numbers, whatever the size of the corpus.  Sentences are scored whole, in
@@ -29,7 +30,7 @@ CODES = {
 SLOTS = 1 << 17
 CHUNK = 1 << 20
 PENALTY = 6.0
-MARGIN = 12.0
+ROUNDS = 12
 
 _NOISE = re.compile(r"https?://\S+|www\.\S+|<[^<>]{0,200}>|&[a-z]{2,8};|&#\d+;")
 _BRACKET = re.compile(r"\([^()]*\)|（[^（）]*）|\[[^\[\]]*\]|【[^【】]*】|［[^［］]*］")
@@ -145,79 +146,87 @@ def train(docs: DataFrame, text: str = "text", label: str = "lang") -> LanguageM
     return LanguageModel(count_ngrams(docs, text, label).toPandas())
 
 
-def mixture(ll: np.ndarray, letters: np.ndarray, rounds: int = 12) -> tuple[list[int], np.ndarray]:
-    """EM over sentences x languages.  -> languages in the chosen set, posterior of each sentence over all languages.
+def _softmax(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Posteriors of the rows, and the log of what they add up to."""
+    m = z.max(axis=1, keepdims=True)
+    e = np.exp(z - m)
+    total = e.sum(axis=1, keepdims=True)
+    return e / total, (m + np.log(total))[:, 0]
+
+
+def proportions(x: np.ndarray, starts: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
+    """EM for many texts at once: rows of x (log likelihoods) are sentences, those from one start to the next are a text."""
+    n = np.diff(np.append(starts, len(x)))
+    pi = np.full((len(starts), x.shape[1]), 1 / x.shape[1])
+    for _ in range(rounds):
+        post, _ = _softmax(x + np.log(np.repeat(pi, n, axis=0)))
+        new = np.maximum(np.add.reduceat(post, starts, axis=0) / n[:, None], 1e-9)
+        done = np.abs(new - pi).max() < 1e-4
+        pi = new
+        if done:
+            break
+    return pi
 
-    The n-grams of a sentence depend on each other; its likelihood counts as that of half its letters.
-    """
-    ll = ll * 0.5
-    live = [int(x) for x in sorted(set(ll.argmax(axis=1)))]
+
+def choose(x: np.ndarray, live: list[int], penalty: float = PENALTY) -> tuple[list[int], np.ndarray]:
+    """The languages of one text by penalised likelihood, from those of ``live``, and their proportions."""
+    one = np.array([0])
 
     def fit(langs):
-        x = ll[:, langs]
-        pi = np.full(len(langs), 1 / len(langs))
-        for _ in range(rounds if len(langs) > 1 else 1):
-            z = x + np.log(pi)
-            m = z.max(axis=1, keepdims=True)
-            e = np.exp(z - m)
-            total = e.sum(axis=1, keepdims=True)
-            post = e / total
-            pi = np.maximum(post.mean(axis=0), 1e-9)
-        return float((m + np.log(total)).sum()), post
-
-    best, post = fit(live)
+        pi = proportions(x[:, langs], one)
+        return float(_softmax(x[:, langs] + np.log(pi))[1].sum()), pi[0]
+
+    best, pi = fit(live)
     while len(live) > 1:  # drop the language that is missed least while that costs less than the penalty
-        tries = []
-        for l in live:
-            rest = [x for x in live if x != l]
-            value, p = fit(rest)
-            tries.append((value, l, rest, p))
-        value, l, rest, p = max(tries, key=lambda t: t[0])
-        if best - value > PENALTY:
+        tries = [(*fit([k for k in live if k != l]), l) for l in live]
+        value, p, l = max(tries, key=lambda t: t[0])
+        if best - value > penalty:
             break
-        live, best, post = rest, value, p
-    full = np.zeros((len(ll), len(LANGS)))
-    full[:, live] = post
-    return live, full
+        live, best, pi = [k for k in live if k != l], value, p
+    return live, pi
 
 
 def segments_of(model: LanguageModel, texts: list[str], titles: list[bool]) -> list[list[tuple[str, float]]]:
-    """For each text its segments (language, confidence); a text without letters has none."""
+    """For each text its segments (language, confidence); a text without letters has none.
+
+    The n-grams of a sentence depend on each other; its likelihood counts as that of half its letters.
+    """
     us, owner = [], []
     for i, (t, ti) in enumerate(zip(texts, titles)):
         u = units(t, ti)
         us += u
         owner += [i] * len(u)
-    if not us:
-        return [[] for _ in texts]
-    ll, letters = model.score(us)
-    own = np.asarray(owner)
-    keep = letters > 0
-    ll, letters, own = ll[keep], letters[keep], own[keep]
     out: list[list[tuple[str, float]]] = [[] for _ in texts]
+    if not us:
+        return out
+    x, letters = model.score(us)
+    own, keep = np.asarray(owner), letters > 0
+    x, letters, own = 0.5 * x[keep], letters[keep], own[keep]
     if not len(own):
         return out
-    first = ll.argmax(axis=1)
-    srt = np.partition(ll, -2, axis=1)
-    sure = (srt[:, -1] - srt[:, -2]) > MARGIN
     starts = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
-    ends = np.concatenate((starts[1:], [len(own)]))
-    all_sure = np.minimum.reduceat(sure.astype(np.int8), starts)
-    lo, hi = np.minimum.reduceat(first, starts), np.maximum.reduceat(first, starts)
-    for k, (a, b) in enumerate(zip(starts, ends)):
-        if all_sure[k] and lo[k] == hi[k]:
-            out[own[a]] = [(LANGS[lo[k]], 1.0)]
-            continue
-        _, post = mixture(ll[a:b], letters[a:b])
-        lang, runs = post.argmax(axis=1), []
-        for s in range(b - a):
-            p, n = float(post[s, lang[s]]), int(letters[a + s])
-            if runs and runs[-1][0] == lang[s]:
-                runs[-1][1] += p * n
-                runs[-1][2] += n
-            else:
-                runs.append([lang[s], p * n, n])
-        out[own[a]] = [(LANGS[l], p / n) for l, p, n in runs]
+    n = np.diff(np.append(starts, len(own)))
+    pi = proportions(x, starts)
+    # a language can be in the set of a text only if it is the likeliest for a sentence of it, under even or the fitted proportions
+    text_of = np.repeat(np.arange(len(starts)), n)
+    live = np.zeros(pi.shape, bool)
+    for top in (x.argmax(axis=1), (x + np.log(pi[text_of])).argmax(axis=1)):
+        live[text_of, top] = True
+    chosen = np.where(live, 1.0, 0.0)
+    several = live.sum(axis=1) > 1
+    for k in np.flatnonzero(several):
+        langs, p = choose(x[starts[k] : starts[k] + n[k]], [int(l) for l in np.flatnonzero(live[k])])
+        chosen[k] = 0.0
+        chosen[k, langs] = p
+    within = np.log(np.maximum(chosen, 1e-300))
+    lang = np.where(chosen[text_of] > 0, x + within[text_of], -np.inf).argmax(axis=1)
+    smoothed = (chosen * n[:, None] + 1 / len(LANGS)) / (n[:, None] + 1)
+    post, _ = _softmax(x + np.log(smoothed[text_of]))
+    sure = post[np.arange(len(lang)), lang] * letters
+    head = np.flatnonzero(np.concatenate(([True], (text_of[1:] != text_of[:-1]) | (lang[1:] != lang[:-1]))))
+    conf = np.add.reduceat(sure, head) / np.add.reduceat(letters, head)
+    for h, c in zip(head, conf):
+        out[own[h]].append((LANGS[lang[h]], float(c)))
     return out
 
 
@@ -253,10 +262,10 @@ def find_languages(docs: DataFrame, papers: DataFrame) -> DataFrame:
     """Segments of all documents and of the titles and abstracts in other languages, with label ('' for none)."""
     model = train(docs)
     rows = docs.select(F.lit("text").alias("field"), F.col("doc_id").alias("rec_id"), F.col("lang").alias("label"), "text")
-    for f in ("title_kor", "title_other", "abstract_other"):
-        rows = rows.unionByName(
-            papers.filter(F.col(f).isNotNull()).select(F.lit(f).alias("field"), F.col("ord").alias("rec_id"), F.lit("").alias("label"), F.col(f).alias("text"))
-        )
+    fields = ("title_kor", "title_other", "abstract_other")
+    # one scan of the papers: a row for each of the texts that are there
+    texts = papers.select("ord", F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in fields])).alias("x"))
+    rows = rows.unionByName(texts.filter("x.text is not null").select("x.field", F.col("ord").alias("rec_id"), F.lit("").alias("label"), "x.text"))
     return segments(rows, model, {"text": False, "title_kor": True, "title_other": True, "abstract_other": False})
 
 

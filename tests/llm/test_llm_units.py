@@ -186,3 +186,24 @@ def test_a_crowd_in_a_shard_is_found_whole():
             all_s = I.same_paper(np.repeat(feat[a : a + 1], 1000, 0), np.repeat(bits[a : a + 1], 1000, 0), feat, bits)
             want = np.flatnonzero((all_s >= 0) & (ids < qid[k]))
             assert len(want) > 100 and sorted(node[r == k]) == want.tolist()
+
+
+def test_language_mixtures():
+    from paperloom.llm import languages as L
+
+    rng = np.random.default_rng(4)
+    x = rng.normal(-20, 6, (30, 8))
+    starts = np.array([0, 1, 7, 20])
+    pi = L.proportions(x, starts)
+    for k, (a, b) in enumerate(zip(starts, [*starts[1:], 30])):  # each text on its own
+        p = np.full(8, 1 / 8)
+        for _ in range(L.ROUNDS):
+            post = np.exp(x[a:b]) * p
+            p = np.maximum((post / post.sum(axis=1, keepdims=True)).mean(axis=0), 1e-9)
+        assert np.allclose(p, pi[k], atol=1e-3)
+    # two clear sentences each of two languages stay apart, a slight preference does not
+    clear = np.full((4, 8), -50.0)
+    clear[:2, 0] = clear[2:, 3] = -5
+    assert L.choose(clear, [0, 3])[0] == [0, 3]
+    clear[2:, 0] = -7
+    assert L.choose(clear, [0, 3])[0] == [0]
