@@ -12,7 +12,7 @@ from paperloom.llm.mixing import mix, rates, shares
 from paperloom.llm.packing import pack, usage
 from paperloom.llm.reading import reading_levels
 from paperloom.llm.sentences import align
-from paperloom.llm.survivors import survivors
+from paperloom.llm.survivors import survivors, values
 from paperloom.llm.tokens import token_counts
 from paperloom.session import cut, table, wide
 
@@ -40,6 +40,11 @@ def p5_found(spark, d):
     return survivors(wide(spark, d, "normalized_papers", "ord", "source", "source_id", "doi", "updated_at", "abstract", "keywords", "matched_queries"))
 
 
+@query("p5_values")
+def p5_values(spark, d):
+    return values(wide(spark, d, "normalized_papers", "ord", "source", "source_id", "doi", "updated_at", "abstract", "keywords", "matched_queries"))
+
+
 @query("p1_found")
 def p1_found(spark, d):
     docs = wide(spark, d, "documents", "doc_id", "text", "lang")

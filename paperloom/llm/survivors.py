@@ -1,10 +1,12 @@
 """Best representative of each duplicate group, field by field.
 
 Groups are connected components over two kinds of keys.  Every record is an observer that claims facts: the sentences
-of its abstract, the elements of its keyword list.  A latent two-sided quality model gives each class of observers (the
+of its abstract (without markup), the elements of its keyword list.  A latent two-sided quality model gives each class of observers (the
 source together with the visible state of the value: clean, cut open, looping, marked up, garbled, …) a sensitivity and a
-specificity, learned by expectation-maximisation together with the truth of each fact.  Single-valued fields take the
-record that is complete in true facts and free of false ones; multi-valued fields keep every value judged true.
+specificity, learned by expectation-maximisation together with the truth of each fact.  Visible damage is a claim too, and one whose
+truth is known: it is false.  A value without a claim judged false is whole; where none is, the one with the greatest odds of its
+claims is taken.  An abstract also claims where it ends, which is false if a clean record goes on from there.
+Multi-valued fields keep every value judged true (``values``); a query under which a record was found is never false.
 
 Scale.  Facts travel as 64-bit hashes.  A fact's evidence is its counts per class (a fixed set of columns), so equal
 evidence is merged before EM, and a group of any size adds one row per fact, never a list.  Only class parameters
@@ -18,6 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paperloom.functions.text import unescape
 from paperloom.session import bounded_rows, cut
 
 WS = r"[\s\x{a0}\x{3000}]"
@@ -38,33 +41,38 @@ def source_key(source: Column, source_id: Column) -> Column:
     return F.when(~F.lower(sid).isin("", "-", "unknown"), F.concat_ws(":", F.coalesce(source, F.lit("")), sid))
 
 
-def components(df: DataFrame, id_col: str, a: str, b: str, max_rounds: int = 60) -> DataFrame:
+def components(df: DataFrame, id_col: str, a: str, b: str, max_rounds: int = 40) -> DataFrame:
     """id -> lead: the smallest id reached through equal a-keys or equal b-keys (null keys link nothing).
 
     Rows collapse to distinct (a, b) edges first, so a key that holds a third of the rows costs one aggregated row per
-    partition.  Labels spread by minimum with a jump through the label's own label; rounds end when none changes.
+    partition.  In each round a node's label, and that of the node its label names, become the smallest among the neighbours, and
+    then labels jump to the label of what they name; so chains shrink by a factor, and rounds grow with the logarithm of their length.
     """
     rows = df.select(F.col(id_col).alias("id"), F.col(a).alias("a"), F.col(b).alias("b"))
     rows = rows.withColumn("a", F.coalesce("a", F.when(F.col("b").isNull(), F.concat(F.lit("\x00"), F.col("id").cast("string"))), F.concat(F.lit("\x01"), F.col("b"))))
     edges = cut(rows.groupBy("a", "b").agg(F.min("id").alias("low")))
-    nodes = edges.groupBy("a").agg(F.min("low").alias("label"), F.count_if(F.col("b").isNotNull()).alias("d"))
+    names = edges.groupBy("a").agg(F.min("low").alias("own"))  # a node is called by its smallest id
     # only keys that meet others can change
     multi = edges.filter("b is not null").groupBy("b").agg(F.count("*").alias("m")).filter("m > 1").select("b")
-    live = cut(edges.filter("b is not null").join(multi, "b", "left_semi").select("a", "b"))
-    labels = cut(nodes.select("a", "label"))
+    live = cut(edges.filter("b is not null").join(multi, "b", "left_semi").select("a", "b").join(names, "a").select("own", "b"))
+    labels = cut(live.select("own").distinct().withColumn("label", F.col("own")))
     for _ in range(max_rounds):
-        part = live.join(labels, "a")
-        by_b = part.groupBy("b").agg(F.min("label").alias("m"))
-        new = live.join(by_b, "b").groupBy("a").agg(F.min("m").alias("m"))
-        joined = labels.join(new, "a", "left").select("a", F.least("label", F.coalesce("m", "label")).alias("label"), F.col("label").alias("old"))
-        joined = cut(joined)
-        changed = joined.filter("label < old").limit(1).count()
-        labels = joined.select("a", "label")
+        least = live.join(labels, "own").groupBy("b").agg(F.min("label").alias("m"))
+        met = live.join(least, "b").groupBy("own").agg(F.min("m").alias("m")).join(labels, "own")
+        # hook: the node itself and the node that its label names
+        hook = met.select("own", "m").unionByName(met.select(F.col("label").alias("own"), "m")).groupBy("own").agg(F.min("m").alias("m"))
+        new = labels.join(hook, "own", "left").select("own", F.least("label", F.coalesce("m", "label")).alias("label"), F.col("label").alias("old"))
+        new = cut(new)
+        up = new.select(F.col("own").alias("label"), F.col("label").alias("up"))
+        jumped = cut(new.join(up, "label", "left").select("own", F.least("label", F.coalesce("up", "label")).alias("label"), "old"))
+        changed = jumped.filter("label < old").limit(1).count()
+        labels = jumped.select("own", "label")
         if not changed:
             break
     else:
         raise ValueError("components: labels still change; raise max_rounds")
-    return rows.select("id", "a").join(labels, "a").select(F.col("id").alias(id_col), F.col("label").alias("lead"))
+    named = names.join(labels, "own", "left").select("a", F.coalesce("label", "own").alias("label"))
+    return rows.select("id", "a").join(named, "a").select(F.col("id").alias(id_col), F.col("label").alias("lead"))
 
 
 def _clean(c: Column) -> Column:
@@ -100,7 +108,8 @@ def _observe(df: DataFrame) -> DataFrame:
     )
     return (
         df.withColumn("abs_", _clean(F.col("abstract")))
-        .withColumn("sent_", F.transform(F.filter(F.split("abs_", r"(?<=[.!?。])\s+"), lambda x: x != ""), lambda x: F.xxhash64(x)))
+        .withColumn("bare_", _clean(unescape(F.regexp_replace("abs_", r"<[A-Za-z/!][^<>]*>", " "))))
+        .withColumn("sent_", F.transform(F.filter(F.split("bare_", r"(?<=[.!?。])\s+"), lambda x: x != ""), lambda x: F.xxhash64(x)))
         .withColumn("raw_kw_", F.transform(F.coalesce("keywords", F.array().cast("array<string>")), lambda x: F.coalesce(x, F.lit(""))))
         .withColumn("kw_", F.transform("raw_kw_", lambda x: F.lower(_clean(x))))
         .select(
@@ -114,7 +123,7 @@ def _observe(df: DataFrame) -> DataFrame:
 
 
 def quality_model(evidence: DataFrame, classes: list[str], rounds: int = 6) -> tuple[list[float], list[float], float]:
-    """EM over rows w, c array<int>, n array<int>: per class sensitivity, specificity; and the prior of truth.
+    """EM over rows w, c array<int>, n array<int>, damage: per class sensitivity, specificity; and the prior of truth.  Damage is false.
 
     EM starts from the visible state: a clean value may leave much out but says little that is false.
     """
@@ -123,7 +132,7 @@ def quality_model(evidence: DataFrame, classes: list[str], rounds: int = 6) -> t
     start = spec = [0.98 if o.endswith("|clean") else 0.6 for o in classes]
     for _ in range(rounds):
         p = truth(sens, spec, prior)
-        e = evidence.withColumn("p", p)
+        e = evidence.withColumn("p", F.when(F.col("damage"), 0.0).otherwise(p))
         w, q = F.col("w"), 1 - F.col("p")
         aggs = [F.sum(w * F.col("p")).alias("t"), F.sum(w).alias("all")]
         for i in range(k):
@@ -151,12 +160,11 @@ def truth(sens: list[float], spec: list[float], prior: float) -> Column:
     return 1 / (1 + F.exp(-x))
 
 
-def survivors(papers: DataFrame, rounds: int = 6) -> DataFrame:
-    """lead_ord, field, best_ord for groups of two or more records.
+KNOWN = 1e-6  # the doubt that remains about any fact
 
-    Null, blank and placeholder values are no claims and are never chosen while another is there; a group without any
-    has no row for the field; equal values go to the smallest ord; repeated rows, extra columns and empty tables do no harm.
-    """
+
+def _judge(papers: DataFrame, rounds: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(records of groups of two or more; claims with false: claims judged false, and odds; facts with their probability)."""
     base = papers.select(
         "ord", "source", "updated_at", "abstract", "keywords", "matched_queries",
         source_key(F.col("source"), F.col("source_id")).alias("a_"), doi_key(F.col("doi")).alias("b_"),
@@ -166,44 +174,52 @@ def survivors(papers: DataFrame, rounds: int = 6) -> DataFrame:
     size = lead.groupBy("lead").agg(F.count("*").alias("n")).filter("n > 1").select("lead")
     rec = cut(obs.drop("a_", "b_").join(lead.join(size, "lead", "left_semi"), "ord"))
 
-    a = rec.filter("a_state is not null").select(
-        "lead", "ord", "updated_at", F.lit("abstract").alias("field"), F.concat_ws("|", F.lit("abstract"), "source", "a_state").alias("obs"),
-        F.col("a_state").alias("state"), F.col("a_value").alias("value"), F.col("sent_").alias("facts"))
-    k = rec.filter("k_state is not null").select(
-        "lead", "ord", "updated_at", F.lit("keywords").alias("field"), F.concat_ws("|", F.lit("keywords"), "source", "k_state").alias("obs"),
-        F.col("k_state").alias("state"), F.col("k_value").alias("value"), F.col("kwh_").alias("facts"))
-    claims = a.unionByName(k)
+    at = F.unix_date(F.try_to_date(F.substring(F.rpad("updated_at", 10, "-01-01"), 1, 10), "yyyy-MM-dd"))
+
+    def claim(field, state, value, facts):
+        """Witnesses; a repeated fact is claimed once.  A long text that is equal word for word was copied, so its copies in one group and
+        class have seen no more than one has; equal lists of keywords agree independently."""
+        x = rec.filter(F.col(state).isNotNull()).groupBy("lead", F.lit(field).alias("field"), F.concat_ws("|", F.lit(field), "source", state).alias("obs"), F.col(state).alias("state"), F.col(value).alias("value"), *([] if field == "abstract" else ["ord"]))
+        return x.agg(*([F.min("ord").alias("ord")] if field == "abstract" else []), F.max(at).alias("at"), F.array_distinct(F.first(facts)).alias("facts"))
+
+    claims = cut(claim("abstract", "a_state", "a_value", "sent_").unionByName(claim("keywords", "k_state", "k_value", "kwh_")))
     classes = sorted(r[0] for r in bounded_rows(claims.select("obs").distinct(), MAX_CLASSES, "observer classes"))
     n_by = claims.groupBy("lead", "field").agg(F.array(*[F.count_if(F.col("obs") == o) for o in classes] or [F.lit(0)]).alias("n"))
-    long = claims.select("lead", "field", "ord", "obs", "state", F.posexplode("facts").alias("pos", "h"), F.size("facts").alias("size"))
-    facts = long.groupBy("lead", "field", "h").agg(
-        # a looping record repeats its facts: it counts once
-        F.array(*[F.count_distinct(F.when(F.col("obs") == o, F.col("ord"))) if "loop" in o or "repeat" in o or "filler" in o else F.count_if(F.col("obs") == o) for o in classes] or [F.lit(0)]).alias("c"),
-        F.max((F.col("state") == "clean") & (F.col("pos") < F.col("size") - 1)).alias("followed"),
+    key = ["lead", "field", "h"]
+    said = claims.select("lead", "field", "ord", "obs", "state", F.posexplode("facts").alias("pos", "h"), F.size("facts").alias("size"))
+    marred = claims.filter("state <> 'clean'").select("lead", "field", "ord", "obs", "state", F.lit(-1).alias("pos"), F.xxhash64(F.lit("damage"), "state").alias("h"), F.lit(0).alias("size"))
+    long = said.unionByName(marred)
+    facts = long.groupBy(*key).agg(
+        F.array(*[F.count_if(F.col("obs") == o) for o in classes] or [F.lit(0)]).alias("c"),
+        F.max((F.col("state") == "clean") & (F.col("pos") < F.col("size") - 1)).alias("followed"), (F.min("pos") < 0).alias("damage"),
     )
     facts = cut(facts.join(n_by, ["lead", "field"]))
-    evidence = cut(facts.groupBy("c", "n").agg(F.count("*").alias("w")))
+    evidence = cut(facts.groupBy("c", "n", "damage").agg(F.count("*").alias("w")))
     sens, spec, prior = quality_model(evidence, classes, rounds)
-    true = facts.select("lead", "field", "h", "followed", (truth(sens, spec, prior) > 0.5).alias("true"))
-    judged = long.join(true, ["lead", "field", "h"]).groupBy("lead", "field", "ord").agg(
-        F.count_if(~F.col("true")).alias("fp"), F.count_distinct(F.when(F.col("true"), F.col("h"))).alias("tp"),
-        F.max(F.when(F.col("pos") == F.col("size") - 1, F.col("followed"))).alias("cut"),
-    )
-    trust = {o: s for o, s in zip(classes, spec)}
-    spec_of = F.lit(0.0)
-    for o, s in trust.items():
-        spec_of = F.when(F.col("obs") == o, F.lit(float(s))).otherwise(spec_of)
-    r = claims.join(judged, ["lead", "field", "ord"]).withColumn("spec", spec_of)
-    marred = (F.col("state") != "clean").cast("int")
+    p = F.when(F.col("damage"), KNOWN).otherwise(F.least(F.greatest(truth(sens, spec, prior), F.lit(KNOWN)), F.lit(1 - KNOWN)))
+    facts = facts.select(*key, "followed", "damage", p.alias("p"))
+    # an abstract ends falsely where its last sentence is followed by others in a clean record
+    ends = (F.col("field") == "abstract") & (F.col("pos") == F.col("size") - 1) & F.col("followed")
+    odds = F.log(F.col("p") / (1 - F.col("p"))) + F.when(ends, math.log(KNOWN)).otherwise(0.0)
+    judged = long.join(facts, key).groupBy("lead", "field", "ord").agg((F.count_if(F.col("p") <= 0.5) + F.count_if(ends)).alias("false"), F.sum(odds).alias("odds"))
+    return rec, claims.join(judged, ["lead", "field", "ord"]), facts
+
+
+def survivors(papers: DataFrame, rounds: int = 6) -> DataFrame:
+    """lead_ord, field, best_ord for groups of two or more records.
+
+    Null, blank and placeholder values are no claims and are never chosen while another is there; a group without any
+    has no row for the field; equal values go to the smallest ord; repeated rows, extra columns and empty tables do no harm.
+    """
+    rec, r, _ = _judge(papers, rounds)
     is_abs = F.col("field") == "abstract"
-    # whole values first; of these the later abstract, the longer list; damaged ones by what is true in them
+    whole = is_abs & (F.col("false") == 0)
+    # whole abstracts first, of several the latest; else the value of the greatest odds, which for lists is the longest true one
     rank = F.struct(
-        marred,
-        F.when(is_abs, F.coalesce(F.col("cut"), F.lit(False)).cast("int")).otherwise((F.col("fp") > 0).cast("int")),
-        F.when(is_abs & (marred == 0), F.lit(0)).otherwise(-F.col("tp")),
-        F.when(marred == 0, F.lit(0.0)).otherwise(-F.col("spec")),
-        F.when(is_abs & F.col("updated_at").isNotNull(), 0).otherwise(1),
-        F.when(is_abs, -F.unix_date(F.try_to_date(F.substring(F.rpad("updated_at", 10, "-01-01"), 1, 10), "yyyy-MM-dd"))).otherwise(F.lit(0)),
+        F.when(is_abs, (F.col("false") > 0).cast("int")).otherwise(0),
+        F.when(whole, F.lit(0.0)).otherwise(-F.round("odds", 6)),
+        F.when(is_abs & F.col("at").isNotNull(), 0).otherwise(1),
+        F.when(is_abs, -F.col("at")).otherwise(F.lit(0)),
         F.col("ord"),
     )
     best = r.groupBy("lead", "field").agg(F.min_by("value", rank).alias("value"))
@@ -213,3 +229,21 @@ def survivors(papers: DataFrame, rounds: int = 6) -> DataFrame:
     return single.select("lead", "field", "best").unionByName(q).select(
         F.col("lead").alias("lead_ord"), "field", F.col("best").alias("best_ord")
     )
+
+
+def values(papers: DataFrame, rounds: int = 6) -> DataFrame:
+    """lead_ord, field, value, confidence: what the surviving record of a group holds.
+
+    Of the abstract one value (without a confidence below 1 where nothing speaks against it); of keywords every one that is judged true, from whatever record,
+    with its probability; of matched_queries every one.  Spellings that differ in case or spaces are one value, as the record of the smallest ord has it.
+    """
+    rec, _, facts = _judge(papers, rounds)
+    best = survivors(papers, rounds).filter("field = 'abstract'").select(F.col("lead_ord").alias("lead"), F.col("best_ord").alias("ord"))
+    abstract = best.join(papers.select("ord", "abstract"), "ord").select("lead", F.lit("abstract").alias("field"), F.col("abstract").alias("value"), F.lit(1.0).alias("confidence"))
+    lists = papers.select("ord", "keywords", "matched_queries").join(rec.select("ord", "lead"), "ord")
+    text = lambda c: lists.select("lead", "ord", F.explode(c).alias("value")).filter("value is not null").withColumn("h", F.xxhash64(F.lower(_clean(F.col("value")))))
+    kw = text("keywords").filter(~_absent(_clean(F.col("value")))).groupBy("lead", "h").agg(F.min_by("value", "ord").alias("value"))
+    kw = kw.join(facts.filter("field = 'keywords' and p > 0.5").select("lead", "h", F.col("p").alias("confidence")), ["lead", "h"])
+    q = text("matched_queries").filter(~_clean(F.col("value")).isin("", "*")).groupBy("lead", "h").agg(F.min_by("value", "ord").alias("value"))
+    out = abstract.unionByName(kw.select("lead", F.lit("keywords").alias("field"), "value", "confidence"))
+    return out.unionByName(q.select("lead", F.lit("matched_queries").alias("field"), "value", F.lit(1.0).alias("confidence"))).withColumnRenamed("lead", "lead_ord")

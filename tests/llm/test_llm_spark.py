@@ -14,7 +14,7 @@ from paperloom.llm.names import link_names, name_pairs
 from paperloom.llm.packing import pack, usage
 from paperloom.llm.reading import reading_levels
 from paperloom.llm.sentences import align
-from paperloom.llm.survivors import components, doi_key, source_key, survivors
+from paperloom.llm.survivors import components, doi_key, source_key, survivors, values
 from paperloom.llm.tokens import token_counts
 
 KO = "이 논문에서는 디지털 증거의 수집 절차를 살펴보았다. 분석 결과를 표로 정리하였다."
@@ -72,6 +72,10 @@ def test_components_against_union_find(spark):
                 up[b] = a
     got = {r["ord"]: r["lead"] for r in components(spark.createDataFrame(rows, "ord bigint, a string, b string"), "ord", "a", "b").collect()}
     assert got == {i: root(i) for i in range(200)}
+    # a chain, whose rounds grow with its logarithm
+    chain = [(i, f"a{(i + 1) // 2}", f"b{i // 2}") for i in range(400)]
+    random.Random(6).shuffle(chain)
+    assert {r["lead"] for r in components(spark.createDataFrame(chain, "ord bigint, a string, b string"), "ord", "a", "b", max_rounds=12).collect()} == {0}
     keys = spark.createDataFrame([("https://doi.example/10.123/AB.c", "kci", "unknown"), ("-", "kci", "x"), (None, None, None)], "d string, s string, i string").select(doi_key(F.col("d")).alias("d"), source_key(F.col("s"), F.col("i")).alias("k")).collect()
     assert [tuple(r) for r in keys] == [("10.123/ab.c", None), (None, "kci:x"), (None, None)]
 
@@ -93,6 +97,12 @@ def test_survivors(spark):
     for g in range(30):
         assert got[g * 10, "abstract"] == {0} and got[g * 10, "keywords"] == {2} and got[g * 10, "matched_queries"] == {0, 1}
     assert not any(k[0] == 999 for k in got)
+    # every keyword judged true stays, from whatever record; packed lists give none; every query stays
+    held = {}
+    for r in values(spark.createDataFrame(rows, PAPERS)).collect():
+        assert 0.5 < r["confidence"] <= 1
+        held.setdefault((r["lead_ord"], r["field"]), set()).add(r["value"])
+    assert held[0, "keywords"] == {"a", "b", "c"} and held[0, "matched_queries"] == {"q", "r"} and held[0, "abstract"] == {full.replace("첫째", "첫째0")}
     assert survivors(spark.createDataFrame([], PAPERS)).count() == 0
     null = spark.createDataFrame([(1, "kci", "A", None, None, None, None, None, 0), (2, "kci", "A", None, None, "", [], ["*"], 0)], PAPERS)
     assert survivors(null).count() == 0
