@@ -3,9 +3,10 @@
 Attributes are encoded as fixed bit vectors: q-grams of the title (TITLE_BITS) and of the authors' family names, and one
 block for each part of the place of publication (ISSN, volume, first and last page, family name).  Close pairs are found
 exactly with multi-index hashing: title vectors within Hamming distance TITLE_RADIUS agree on one of TITLE_RADIUS + 1
-bands, and places that differ in two of five blocks at most agree on one of the ten combinations of three.  Field-weighted Dice
-scores and block agreements become levels, and a two-class mixture fitted to all candidate pairs by expectation-maximisation
-turns the levels into a calibrated confidence.
+bands, and places that differ in two of five blocks at most agree on one of the ten combinations of three.  The Dice score of each
+field's bit vectors becomes a level; a two-class mixture fitted to all candidate pairs by expectation-maximisation gives each level
+of each field its weight, and the weights add up to the score of a pair.  The scores are calibrated on the pairs whose DOIs are both
+known: a logistic curve from the score without the DOI to how often the DOIs agree, corrected for DOIs that are wrong or shared.
 
 Scale.  Candidates come from equi-joins only.  Titles are indexed once per distinct title.  Every pair of records with close titles or
 a common combination of three blocks is a candidate, so work grows with the square of the commonest title or place; those that more
@@ -29,8 +30,10 @@ from paperloom.llm.names import romanize
 from paperloom.session import cut
 
 TITLE_BITS, TITLE_RADIUS, NAME_BITS, COMMON, MAX_SALTS = 512, 11, 256, 60, 64
+NEAR, MIN_KNOWN = 0.5, 200  # Dice of close digits; pairs with both DOIs that a calibration needs
 WORDS, NAME_WORDS = TITLE_BITS // 64, NAME_BITS // 64
 BLOCKS = ("issn", "volume", "first", "last", "name")
+PLACE = ("issn", "volume", "number", "first", "last")
 _TAG = re.compile(r"<[^<>]*>|\[[^\[\]]*\]|&[a-z]+;", re.IGNORECASE)
 _HANGUL = re.compile("[가-힣]")
 _PART = re.compile(r"(?:\bpart\s+|제\s*|\(\s*)(i{1,3}|iv|vi{0,3}|ix|x|\d{1,2})\s*(?:부|편)?\)?[^\w)]*$|\s(ii|iii|iv|vi|vii|viii)[^\w)]*$", re.IGNORECASE)
@@ -65,7 +68,7 @@ def qgram_bits(words: list[str], bits: int, q: int = 2) -> list[int]:
 
 
 def bands(words: list[int], bits: int, n: int) -> list[str]:
-    v = sum((w & 0xFFFFFFFFFFFFFFFF) << (64 * k) for k, w in enumerate(words))
+    v = sum((int(w) & 0xFFFFFFFFFFFFFFFF) << (64 * k) for k, w in enumerate(words))
     edges = [bits * k // n for k in range(n + 1)]
     return [f"{k}:{(v >> a) & ((1 << (b - a)) - 1):x}" for k, (a, b) in enumerate(zip(edges, edges[1:]))]
 
@@ -104,7 +107,7 @@ def _encode(df: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
             d = b.to_pydict()
-            o: dict[str, list] = {k: [] for k in ("id", "title", "tv", "nv", "names", "issn", "volume", "number", "first", "last", "year", "doi", "part")}
+            o: dict[str, list] = {k: [] for k in ("id", "title", "tv", "nv", "names", "issn", "volume", "number", "first", "last", "year", "doi", "part", *(f"{k}_v" for k in PLACE))}
             for i in range(len(d["id"])):
                 eng = d["title_eng"][i] or (d["title"][i] if d["title"][i] and not _HANGUL.search(d["title"][i]) else None)
                 words = clean_title(eng).split()
@@ -126,17 +129,19 @@ def _encode(df: DataFrame) -> DataFrame:
                 o["year"].append(y)
                 m = re.search(r"10\.\d{3,}[\d.]*/\S+", (d["doi"][i] or "").lower())
                 o["doi"].append(m[0].rstrip(".,;)") if m else None)
+                for k in PLACE:
+                    o[f"{k}_v"].append(qgram_bits([o[k][-1]], 64)[0] if o[k][-1] else None)
                 o["part"].append(part_number(eng) or part_number(d["title_kor"][i]) or part_number(d["title"][i]))
             ls, s = pa.list_(pa.int64()), pa.string()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(o[k], t) for k, t in zip(o, (pa.int64(), s, ls, ls, pa.list_(s), s, s, s, s, s, pa.int32(), s, pa.int32()))], names=list(o))
+                [pa.array(o[k], t) for k, t in zip(o, (pa.int64(), s, ls, ls, pa.list_(s), s, s, s, s, s, pa.int32(), s, pa.int32(), *[pa.int64()] * len(PLACE)))], names=list(o))
 
     cols = ["id", "title", "title_kor", "title_eng", "authors_json", "issn", "eissn", "issue_id", "first_page", "final_page", "publication_year", "registered_at", "doi"]
-    return df.select(*cols).mapInArrow(run, "id bigint, title string, tv array<bigint>, nv array<bigint>, names array<string>, issn string, volume string, number string, first string, last string, year int, doi string, part int")
+    return df.select(*cols).mapInArrow(run, "id bigint, title string, tv array<bigint>, nv array<bigint>, names array<string>, issn string, volume string, number string, first string, last string, year int, doi string, part int, " + ", ".join(f"{k}_v bigint" for k in PLACE))
 
 
 def _place_keys(df: DataFrame) -> DataFrame:
-    """id, key: the combinations of three known blocks, and the DOI."""
+    """id, key: the combinations of three known blocks."""
     name = F.explode_outer("names").alias("name")
     x = df.select("id", "issn", "volume", "first", "last", name)
     keys = []
@@ -146,7 +151,7 @@ def _place_keys(df: DataFrame) -> DataFrame:
             known = known & F.col(k).isNotNull()
         keys.append(F.when(known, F.concat_ws("\x01", F.lit("+".join(c)), *c)))
     k = x.select("id", F.explode(F.array_compact(F.array(*keys))).alias("key"))
-    return k.unionByName(df.filter("doi is not null").select("id", F.concat(F.lit("doi\x01"), "doi").alias("key"))).distinct()
+    return k.distinct()
 
 
 def _all_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -159,32 +164,33 @@ def _all_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def candidates(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Distinct pairs a_id, b_id that are close in place or title."""
+    """a_id, b_id, likely: distinct pairs that are close in place or title, and those of one DOI (only by it: likely 0)."""
+    doi = lambda x: x.filter("doi is not null").select("id", F.col("doi").alias("key"))
     place = _all_pairs(cut(_place_keys(a)), cut(_place_keys(b)))
 
     def titles(x: DataFrame, side: str) -> DataFrame:
-        return x.filter("title is not null").groupBy("title").agg(F.first("tv").alias("tv")).select(F.col("title").alias(f"{side}_title"), F.col("tv").alias(f"{side}_tv"))
+        return cut(x.filter("title is not null").groupBy("title").agg(F.first("tv").alias("tv")).select(F.col("title").alias(f"{side}_title"), F.xxhash64("title").alias(f"{side}_h"), F.col("tv").alias(f"{side}_tv")))
 
     def banded(x: DataFrame, side: str) -> DataFrame:
         def run(batches):
             for batch in batches:
-                d = batch.to_pydict()
-                t, v, k = [], [], []
-                for title, tv in zip(d[f"{side}_title"], d[f"{side}_tv"]):
-                    bs = bands(tv, TITLE_BITS, TITLE_RADIUS + 1)
-                    t += [title] * len(bs)
-                    v += [tv] * len(bs)
-                    k += bs
-                yield pa.RecordBatch.from_arrays([pa.array(t, pa.string()), pa.array(v, pa.list_(pa.int64())), pa.array(k, pa.string())], names=[f"{side}_title", f"{side}_tv", "band"])
+                hs, vs = batch.column(0), batch.column(1).to_pylist()
+                ks = [zlib.crc32(b.encode()) | i << 32 for v in vs for i, b in enumerate(bands(v, TITLE_BITS, TITLE_RADIUS + 1))]
+                at = np.repeat(np.arange(len(vs)), TITLE_RADIUS + 1)
+                yield pa.RecordBatch.from_arrays([hs.take(pa.array(at)), pa.array(ks, pa.int64())], names=[f"{side}_h", "band"])
 
-        return x.mapInArrow(run, f"{side}_title string, {side}_tv array<bigint>, band string")
+        return x.select(f"{side}_h", f"{side}_tv").mapInArrow(run, f"{side}_h bigint, band bigint")
 
     distance = sum((F.bit_count(F.col("a_tv")[i].bitwiseXOR(F.col("b_tv")[i])) for i in range(WORDS)), F.lit(0))
-    near = banded(titles(a, "a"), "a").join(banded(titles(b, "b"), "b"), "band").filter(distance <= TITLE_RADIUS).select("a_title", "b_title").distinct()
+    ta, tb = titles(a, "a"), titles(b, "b")
+    # only hashes of titles and bands travel; the vectors are fetched for the pairs that meet
+    met = banded(ta, "a").join(banded(tb, "b"), "band").select("a_h", "b_h").distinct()
+    near = met.join(ta, "a_h").join(tb, "b_h").filter(distance <= TITLE_RADIUS).select("a_title", "b_title")
     # each record of the first table under the second's titles that are near its own
     near_a = near.join(a.select("id", F.col("title").alias("a_title")), "a_title").select("id", F.col("b_title").alias("key"))
     by_title = _all_pairs(cut(near_a), b.filter("title is not null").select("id", F.col("title").alias("key")))
-    return place.unionByName(by_title).distinct()
+    by_doi = _all_pairs(doi(a), doi(b)).withColumn("likely", F.lit(0))
+    return place.unionByName(by_title).withColumn("likely", F.lit(1)).unionByName(by_doi).groupBy("a_id", "b_id").agg(F.max("likely").alias("likely"))
 
 
 def _dice(x: str, y: str, words: int) -> Column:
@@ -193,36 +199,40 @@ def _dice(x: str, y: str, words: int) -> Column:
     return 2 * both / F.greatest(total, F.lit(1))
 
 
-def _overlap(x: str, y: str, words: int) -> Column:
-    both = sum((F.bit_count(F.col(x)[i].bitwiseAND(F.col(y)[i])) for i in range(words)), F.lit(0))
-    p = sum((F.bit_count(F.col(x)[i]) for i in range(words)), F.lit(0))
-    q = sum((F.bit_count(F.col(y)[i]) for i in range(words)), F.lit(0))
-    return both / F.greatest(F.least(p, q), F.lit(1))
-
-
-def _equal(k: str) -> Column:
+def _agree(k: str) -> Column:
+    """Level of a field of few digits: 0 unknown, 1 different, 2 close by Dice, 3 equal."""
     a, b = F.col(f"a.{k}"), F.col(f"b.{k}")
-    return F.when(a.isNull() | b.isNull(), 0).when(a == b, 2).otherwise(1)
+    out = F.when(a.isNull() | b.isNull(), 0).when(a == b, 3)
+    if k in PLACE:
+        x, y = F.col(f"a.{k}_v"), F.col(f"b.{k}_v")
+        out = out.when(2 * F.bit_count(x.bitwiseAND(y)) / (F.bit_count(x) + F.bit_count(y)) >= NEAR, 2)
+    return out.otherwise(1)
 
 
 def compare(a: DataFrame, b: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Levels of agreement of each pair, 0 meaning unknown; higher is closer.  Different parts of a series are no pairs."""
+    """Levels of agreement of each pair, 0 meaning unknown; higher is closer.  Different parts of a series are no pairs.
+
+    Columns of ``pairs`` other than the ids are kept.
+    """
     j = pairs.join(a.alias("a"), pairs["a_id"] == F.col("a.id")).join(b.alias("b"), pairs["b_id"] == F.col("b.id"))
-    t = _dice("a.tv", "b.tv", WORDS)
-    n = _overlap("a.nv", "b.nv", NAME_WORDS)
-    title = F.when(F.col("a.tv").isNull() | F.col("b.tv").isNull(), 0).when(t >= 0.95, 5).when(t >= 0.85, 4).when(t >= 0.75, 3).when(t >= 0.62, 2).otherwise(1)
-    title = F.when((title == 1) & (t < 0.48), 1).when(title > 0, title + 1).otherwise(0)
-    # the likeness of titles that many records bear is a level of its own
-    title = F.when((title >= 4) & ((F.col("a.common") > 3) | (F.col("b.common") > 3)), 7).otherwise(title)
-    name = F.when(F.col("a.nv").isNull() | F.col("b.nv").isNull(), 0).when(n >= 0.9, 4).when(n >= 0.7, 3).when(n >= 0.5, 2).otherwise(1)
     year = F.when(F.col("a.year").isNull() | F.col("b.year").isNull(), 0).when(F.col("a.year") == F.col("b.year"), 3).when(F.abs(F.col("a.year") - F.col("b.year")) == 1, 2).otherwise(1)
-    both = (_equal("first") == 2) & (_equal("last") == 2)
     part = F.when(F.col("a.part") == F.col("b.part"), F.when(F.col("a.part") == 0, 0).otherwise(2)).otherwise(1)
-    return j.select(
-        "a_id", "b_id", title.alias("title"), name.alias("name"), year.alias("year"), part.alias("part"),
-        *[_equal(k).alias(k) for k in ("issn", "volume", "number", "doi")], t.alias("dice"),
+    known = lambda k: F.col(f"a.{k}").isNotNull() & F.col(f"b.{k}").isNotNull()
+    # scores first, as columns: written into each level they would be computed, and compiled, many times over
+    x = j.select(
+        *pairs.columns, F.when(known("tv"), _dice("a.tv", "b.tv", WORDS)).alias("dice"), F.when(known("nv"), _dice("a.nv", "b.nv", NAME_WORDS)).alias("n_"),
+        F.coalesce(F.greatest("a.common", "b.common"), F.lit(1)).alias("common_"), year.alias("year"), part.alias("part"),
+        *[_agree(k).alias(k) for k in ("issn", "volume", "number", "doi")], _agree("first").alias("first_"), _agree("last").alias("last_"))
+    t, n = F.col("dice"), F.col("n_")
+    title = F.when(t.isNull(), 0).when(t >= 0.95, 6).when(t >= 0.85, 5).when(t >= 0.75, 4).when(t >= 0.62, 3).when(t >= 0.48, 2).otherwise(1)
+    # the likeness of titles that many records bear is a level of its own
+    title = F.when((t >= 0.75) & (F.col("common_") > 3), 7).otherwise(title)
+    name = F.when(n.isNull(), 0).when(n >= 0.9, 5).when(n >= 0.7, 4).when(n >= 0.5, 3).when(n >= 0.35, 2).otherwise(1)
+    both = (F.col("first_") == 3) & (F.col("last_") == 3)
+    return x.select(
+        *pairs.columns, title.alias("title"), name.alias("name"), "year", "part", "issn", "volume", "number", "doi", "dice",
         # the last page follows from the first but for the length: if both agree, that is one level of one field
-        F.when(both, 3).otherwise(_equal("first")).alias("first"), F.when(both, 0).otherwise(_equal("last")).alias("last"),
+        F.when(both, 4).otherwise(F.col("first_")).alias("first"), F.when(both, 0).otherwise(F.col("last_")).alias("last"),
     ).filter("part <> 1")
 
 
@@ -236,7 +246,7 @@ class Mixture:
     all ``total`` pairs are true, is fitted to the candidates by expectation-maximisation.
     """
 
-    def __init__(self, patterns, counts, chance, chance_counts, total: float, rounds: int = 40):
+    def __init__(self, patterns, counts, chance, chance_counts, total: float, rounds: int = 40, likely=None):
         x, w = np.asarray(patterns, int).reshape(-1, len(FIELDS)), np.asarray(counts, float)
         y, v = np.asarray(chance, int).reshape(-1, len(FIELDS)), np.asarray(chance_counts, float)
         top = [int(max(x[:, f].max(initial=1), y[:, f].max(initial=1))) for f in range(len(FIELDS))]
@@ -255,21 +265,55 @@ class Mixture:
             self.m = [levels(x, w * p, f) for f in range(len(FIELDS))]
             self.prior = min(0.5, max(1e-12, ((w * p).sum() + 0.5) / max(total, 1)))
 
-    def _logit(self, x):
+        self.a, self.b = 0.0, 1.0
+        # pairs that only a common DOI brought together would make it seem that DOIs agree whatever the score
+        some = np.ones(len(w), bool) if likely is None else np.asarray(likely, int) > 0
+        self._calibrate(x[some], w[some])
+
+    def weights(self, f: int) -> np.ndarray:
+        """What each level of a field adds to the score."""
+        r = np.log(self.m[f] / self.u[f])
+        r[0] = 0.0
+        return r
+
+    def _logit(self, x, without: int | None = None):
         z = np.full(len(x), np.log(self.prior / (1 - self.prior)))
         for f in range(len(FIELDS)):
-            r = np.log(self.m[f] / self.u[f])
-            r[0] = 0.0
-            z += r[x[:, f]]
+            if f != without:
+                z += self.weights(f)[x[:, f]]
         return np.clip(z, -50, 50)
 
+    def _calibrate(self, x, w) -> None:
+        """The line a + b * score (without the DOI) whose logistic curve is likeliest, given which DOIs agree.
+
+        Of one paper's records the DOIs agree with the probability that the mixture found (some are wrong), of others' by chance (some are
+        shared).  With fewer than MIN_KNOWN pairs the score is taken as it is.
+        """
+        d = FIELDS.index("doi")
+        known = x[:, d] > 0
+        if w[known].sum() < MIN_KNOWN:
+            return
+        s, y, n = self._logit(x[known], d), x[known, d] == 3, w[known]
+        m, u = self.m[d][3], min(self.u[d][3], 0.5 * self.m[d][3])
+        best = -np.inf
+        for b in np.linspace(0.1, 1.5, 29):
+            for a in np.linspace(-10, 10, 81):
+                p = u + (m - u) / (1 + np.exp(-(a + b * s)))
+                # a weak pull towards the score as it is
+                fit = float((n * np.log(np.where(y, p, 1 - p))).sum()) - 0.5 * (a / 5) ** 2 - 0.5 * ((b - 1) / 0.5) ** 2
+                if fit > best:
+                    best, self.a, self.b = fit, float(a), float(b)
+
     def column(self) -> Column:
-        z = F.lit(float(np.log(self.prior / (1 - self.prior))))
+        """Calibrated confidence from the columns of levels."""
+        z, doi = F.lit(float(np.log(self.prior / (1 - self.prior)))), F.lit(0.0)
         for f, name in enumerate(FIELDS):
-            r = np.log(self.m[f] / self.u[f])
-            r[0] = 0.0
-            z = z + F.element_at(F.array(*[F.lit(float(t)) for t in r]), F.col(name) + 1)
-        return 1 / (1 + F.exp(-z))
+            w = F.element_at(F.array(*[F.lit(float(t)) for t in self.weights(f)]), F.col(name) + 1)
+            if name == "doi":
+                doi = w
+            else:
+                z = z + w
+        return 1 / (1 + F.exp(-(F.lit(self.a) + F.lit(self.b) * F.greatest(F.lit(-50.0), F.least(F.lit(50.0), z)) + doi)))
 
 
 def random_pairs(a: DataFrame, b: DataFrame, n: int, salts: int = 32) -> DataFrame:
@@ -290,9 +334,9 @@ def link(kci: DataFrame, scopus: DataFrame, min_confidence: float = 0.5) -> Data
     a, b = (cut(x.join(x.filter("title is not null").groupBy("title").agg(F.count("*").alias("common")), "title", "left")) for x in (a, b))
     na, nb = a.count(), b.count()
     levels = cut(compare(a, b, candidates(a, b)))
-    pattern = levels.groupBy(*FIELDS).agg(F.count("*").alias("n")).toPandas()
+    pattern = levels.groupBy(*FIELDS, "likely").agg(F.count("*").alias("n")).toPandas()
     chance = compare(a, b, random_pairs(a, b, max(na, nb, 1))).groupBy(*FIELDS).agg(F.count("*").alias("n")).toPandas()
-    mix = Mixture(pattern[list(FIELDS)], pattern["n"], chance[list(FIELDS)], chance["n"], float(na) * nb)
+    mix = Mixture(pattern[list(FIELDS)], pattern["n"], chance[list(FIELDS)], chance["n"], float(na) * nb, likely=pattern["likely"])
     scored = levels.withColumn("confidence", mix.column()).filter(F.col("confidence") >= min_confidence)
     best = scored.groupBy("b_id").agg(F.max_by(F.struct("a_id", "confidence"), F.struct("confidence", "dice", -F.col("a_id"))).alias("x"))
     return best.select(F.col("x.a_id").alias("a_id"), "b_id", F.col("x.confidence").alias("confidence"))

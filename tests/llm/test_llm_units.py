@@ -207,3 +207,30 @@ def test_language_mixtures():
     assert L.choose(clear, [0, 3])[0] == [0, 3]
     clear[2:, 0] = -7
     assert L.choose(clear, [0, 3])[0] == [0]
+
+
+def test_confidences_are_calibrated():
+    """Fields that depend on each other make the plain score too sure of itself; DOIs, some wrong, some missing, put that right."""
+    rng = np.random.default_rng(12)
+    n = 40_000
+    true = rng.random(n) < 0.4
+    x = np.zeros((n, len(K.FIELDS)), int)
+    x[:, 0] = np.where(true, 2, 1) ^ (rng.random(n) < 0.1) * 3
+    for f in (1, 2, 4, 5):  # four fields that mostly repeat one another
+        x[:, f] = np.where(rng.random(n) < 0.6, x[:, 0], np.where(true, 2, 1) ^ (rng.random(n) < 0.2) * 3)
+    d = K.FIELDS.index("doi")
+    x[:, d] = np.where(rng.random(n) < 0.4, 0, np.where(true & (rng.random(n) < 0.85), 3, 1))
+    u = rng.integers(1, 3, (n, len(K.FIELDS)))
+    u[:, d] = np.where(rng.random(n) < 0.001, 3, 1)
+    x[:, 3] = u[:, 3] = 0
+    patterns, counts = np.unique(x, axis=0, return_counts=True)
+    chance, chance_counts = np.unique(u, axis=0, return_counts=True)
+    mix = K.Mixture(patterns, counts, chance, chance_counts, 2.5 * n)
+
+    def error(a, b):
+        z = a + b * mix._logit(x, d) + mix.weights(d)[x[:, d]]
+        p = 1 / (1 + np.exp(-z))
+        bins = np.minimum((p * 10).astype(int), 9)
+        return sum(abs(p[bins == k].mean() - true[bins == k].mean()) * (bins == k).mean() for k in range(10) if (bins == k).any())
+
+    assert mix.b < 1 and error(mix.a, mix.b) < 0.08 and error(mix.a, mix.b) < 0.7 * error(0.0, 1.0)
