@@ -234,3 +234,27 @@ def test_confidences_are_calibrated():
         return sum(abs(p[bins == k].mean() - true[bins == k].mean()) * (bins == k).mean() for k in range(10) if (bins == k).any())
 
     assert mix.b < 1 and error(mix.a, mix.b) < 0.08 and error(mix.a, mix.b) < 0.7 * error(0.0, 1.0)
+
+
+def test_own_words_are_taken_out():
+    from paperloom.llm import reading as R
+
+    rng = np.random.default_rng(2)
+    texts = [[[f"w{rng.integers(0, 30)}" for _ in range(6)] for _ in range(4)] for _ in range(3)]
+    hasher = R.Hasher()
+
+    def counts(parts):
+        c = np.zeros((len(R.LANGS), R.LEVELS, 5, R.SLOTS))
+        for words, level in parts:
+            slots, _ = R.ngram_slots(words, hasher)
+            for t in range(5):
+                c[0, level, t] += np.bincount(slots[:, t], minlength=R.SLOTS)
+        return c
+
+    trans = np.full((R.LEVELS, R.LEVELS), 0.2)
+    whole = R.LevelModels(counts([(texts[0], 1), (texts[1], 1), (texts[2], 3)]), trans)
+    rest = R.LevelModels(counts([(texts[1], 1), (texts[2], 3)]), trans)
+    slots, owner = R.ngram_slots(texts[0], hasher)
+    own = np.zeros((len(slots), R.LEVELS))
+    own[:, 1] = 1
+    assert np.allclose(whole.loglik(0, slots, owner, 4, own), rest.loglik(0, slots, owner, 4), atol=1e-4)
