@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from paperloom.functions.text import WS, fold
 
-GAP = 16
+GAP, MAX_ORDERED = 16, 4
 _SPACE = re.compile(r"\s+")
 
 
@@ -51,6 +51,30 @@ def near_words(tokens: list[str], text: str, gap: int = GAP) -> bool:
     return False
 
 
+def near_chain(tokens: list[str], text: Column, gap: int = GAP) -> Column:
+    """The test of ``proximity_pattern`` for any number of different tokens (64 at most), as one pass over their occurrences.
+
+    Occurrences are taken in the order of the text; each keeps, as bits, the sets of tokens that chains of small gaps ending in it have used.
+    """
+    if len(tokens) > 63:
+        raise ValueError("more than 63 different words in one term")
+    at = F.sequence(F.lit(1), F.length(text))
+
+    def spots_of(k: int, t: str) -> Column:
+        found = F.filter(at, lambda p: F.substr(text, p, F.lit(len(t))) == t)
+        return F.transform(found, lambda p: F.struct(p.alias("p"), (p + len(t)).alias("e"), F.lit(1 << k).cast("bigint").alias("b")))
+
+    spots = F.array_sort(F.flatten(F.array(*[spots_of(k, t) for k, t in enumerate(tokens)])))
+
+    def step(acc, s):
+        before = F.filter(acc, lambda c: (s["p"] - c["e"] <= gap) & (c["m"].bitwiseAND(s["b"]) == 0))
+        masks = F.array_distinct(F.concat(F.array(s["b"]), F.transform(before, lambda c: c["m"].bitwiseOR(s["b"]))))
+        return F.concat(acc, F.transform(masks, lambda m: F.struct(s["e"].alias("e"), m.alias("m"))))
+
+    full = (1 << len(tokens)) - 1
+    return F.aggregate(spots, F.array().cast("array<struct<e:int,m:bigint>>"), step, lambda acc: F.exists(acc, lambda c: c["m"] == full))
+
+
 def keyword_in(keyword: str, text: Column, spaceless: Column, gap: int = GAP) -> Column:
     """text and spaceless are folded; the second is without white space.
 
@@ -64,8 +88,9 @@ def keyword_in(keyword: str, text: Column, spaceless: Column, gap: int = GAP) ->
         present = F.lit(True)
         for t in tokens:
             present = present & text.contains(t)
-        # the cheap test first: the pattern only runs where all words are there
-        hit = hit | (present & text.rlike(proximity_pattern(tokens, gap)))
+        # the cheap test first: the others only run where all words are there; orders to try grow with the factorial, occurrences do not
+        close = text.rlike(proximity_pattern(tokens, gap)) if len(tokens) <= MAX_ORDERED else near_chain(tokens, text, gap)
+        hit = hit | F.when(present, close).otherwise(False)
     return hit
 
 

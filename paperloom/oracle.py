@@ -113,3 +113,31 @@ def classified(t: str, rules: RuleSet) -> str:
       SELECT *, CASE WHEN len(h_title) > 0 THEN 'title' WHEN len(h_keyword) > 0 THEN 'keyword' WHEN len(h_abstract) > 0 THEN 'abstract' END AS match_field,
         CASE WHEN len(h_title) > 0 THEN h_title WHEN len(h_keyword) > 0 THEN h_keyword ELSE h_abstract END AS won
       FROM (SELECT *, {hits('title')} AS h_title, {hits('keyword')} AS h_keyword, {hits('abstract')} AS h_abstract, {outs} AS outs FROM ({field_texts(t)}))))"""
+
+
+def fold_merge(t: str, columns: dict[str, str], key: str, rich: tuple[str, ...], rich_lists: tuple[str, ...], fill: tuple[str, ...], union: tuple[str, ...], order: str = "ord") -> str:
+    """SELECT of the records merged per key in arrival order: a reduction over the list of each key's rows.  columns: name -> type."""
+    names = [c for c in columns if c != order]
+
+    def richness(r):
+        return "(" + " + ".join([*(f"coalesce(({r}.{c} <> '')::INT, 0)" for c in rich), *(f"coalesce(len({r}.{c}), 0)" for c in rich_lists)]) + ")"
+
+    def field(n):
+        x, y = f"CASE WHEN w THEN b.{n} ELSE a.{n} END", f"CASE WHEN w THEN a.{n} ELSE b.{n} END"
+        if n in union:
+            base, new = f"coalesce({x}, [])", f"coalesce({y}, [])"
+            return f"list_concat({base}, list_filter({distinct_folded(new)}, lambda u: NOT list_contains(list_transform({base}, lambda v: {fold('v')}), {fold('u')})))"
+        if n in fill:
+            return f"CASE WHEN ({x}) IS NULL" + (f" OR ({x}) = ''" if columns[n] == "VARCHAR" else "") + f" THEN {y} ELSE {x} END"
+        if n in ("relevance_score", "is_relevant"):
+            p, q_ = "CASE WHEN w THEN b.relevance_score ELSE a.relevance_score END", "CASE WHEN w THEN a.relevance_score ELSE b.relevance_score END"
+            return f"CASE WHEN ({p}) IS NULL OR (({q_}) IS NOT NULL AND ({q_}) > ({p})) THEN {y} ELSE {x} END"
+        if n == "raw_payload":
+            return f"CASE WHEN ({x}) IS NULL OR ({x}) IN ('', '{{}}') THEN coalesce({y}, {x}) ELSE {x} END"
+        return x
+
+    packed = "struct_pack(" + ", ".join(f"{n} := {n}" for n in names) + ")"
+    step = "struct_pack(" + ", ".join(f"{n} := {field(n)}" for n in names) + ")"
+    merge = f"list_transform([{richness('b')} > {richness('a')}], lambda w: {step})[1]"
+    return f"""SELECT o AS {order}, r.* FROM (SELECT o, unnest([m]) AS r FROM (
+      SELECT min({order}) AS o, list_reduce(list({packed} ORDER BY {order}), lambda a, b: {merge}) AS m FROM (SELECT *, {key} AS key_ FROM {t}) GROUP BY key_))"""

@@ -17,6 +17,7 @@ from paperloom.operators import normalize as N
 from paperloom.operators.packed import split_packed
 from paperloom.plans import rules as R
 from paperloom.plans import slices as P
+from paperloom.schema import PAPER
 from paperloom.session import table, wide
 from paperloom.sources import records as S
 from paperloom.sources import store as T
@@ -320,7 +321,12 @@ def dedup_first_wins(spark, d):
     return D.first_wins(papers(spark, d).select("source_id", "ord", "title", "publication_year"), "source_id", "ord")
 
 
-@query("dedup_fold_merge")
+_TYPES = {"ord": "BIGINT"} | {f.name: {"string": "VARCHAR", "int": "INTEGER", "double": "DOUBLE", "boolean": "BOOLEAN"}.get(f.dataType.simpleString(), "VARCHAR[]") for f in PAPER.fields}
+_LISTS = [c for c, k in _TYPES.items() if k == "VARCHAR[]"]
+_MERGED = O.fold_merge("normalized_papers", _TYPES, _KEY, D.RICH, D.RICH_LISTS, D.FILL, D.UNION)
+
+
+@query("dedup_fold_merge", f"SELECT * REPLACE ({', '.join(f'array_to_string({c}, {O.q(chr(124))}) AS {c}' for c in _LISTS)}) FROM ({_MERGED})")
 def dedup_fold_merge(spark, d):
     return _flat(D.fold_merge(papers(spark, d)))
 

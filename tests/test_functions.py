@@ -89,3 +89,25 @@ def test_near_words_against_brute_force():
             assert near_words(tokens, t, 2) == brute(tokens, t, 2), (tokens, t)
     names = "one two three four five six seven eight nine ten eleven twelve".split()
     assert near_words(names[::-1], " ".join(names)) and not near_words(names, " ".join(names[:-1]))
+
+
+def test_proximity_of_many_words(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from paperloom.functions.matching import keyword_in, near_chain, near_words, proximity_pattern
+
+    rng = random.Random(3)
+    words = ["aa", "bab", "cc", "dd", "ee", "ff", "gg"]
+    texts = ["".join(rng.choice([*words, *words, "x" * rng.randint(1, 20)]) + rng.choice(["", " ", "  "]) for _ in range(rng.randint(0, 14))) for _ in range(150)] + ["", "aa"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for n in (2, 3, 5, 7):
+        got = df.select("t", near_chain(words[:n], F.col("t")).alias("c"), F.col("t").rlike(proximity_pattern(words[: min(n, 5)])).alias("p")).collect()
+        for r in got:
+            assert r["c"] == near_words(words[:n], r["t"]), (n, r["t"])
+            if n <= 5:
+                assert r["c"] == r["p"]
+    long = "one two three four five six seven"
+    hits = spark.createDataFrame([("seven six, five four; three two one",), ("one two three four five six",), ("one two three four five six " + "y" * 17 + " seven",)], "t string")
+    assert [r[0] for r in hits.select(keyword_in(long, F.col("t"), F.replace("t", F.lit(" "), F.lit("")))).collect()] == [True, False, False]
