@@ -14,8 +14,8 @@ The index lies in a folder: encoded records, shards, links found so far, and num
 ``ShardedIndex.open`` takes it up again in a later run, and ``accept`` adds a batch without reading the records behind the shards.
 
 Scale.  Building is linear in the history (neighbours are sought in cells of bounded size).  A batch is dealt into blocks of about BLOCK
-queries; shards are scanned where they lie and the blocks are broadcast to them if the batch has MAX_BROADCAST records at most (about
-700 bytes each), else both are shuffled by the shard's number.  Copies that differ in source_id at most share one node, so hot groups of copies do not clot a
+queries; shards are scanned where they lie and the blocks (then fewer and larger) are broadcast to them if the batch has MAX_BROADCAST records at
+most (about 700 bytes each), else both are shuffled by the shard's number.  Copies that differ in source_id at most share one node, so hot groups of copies do not clot a
 graph; a crowd of unlike copies costs each query that meets it one pass over the shard.  A lost executor costs a re-run of its tasks.
 """
 
@@ -309,7 +309,7 @@ def _pack(ids, vec, feat, bits, links, sids) -> bytes:
     return b"".join((head, *(v.astype(t).tobytes() for v, (_, t, _) in zip((ids, vec, feat, bits, links), PARTS)), *(v.astype(t).tobytes() for v, (_, t) in zip(sids, SIDS))))
 
 
-def _unpack(b: bytes):
+def _unpack(b):
     """ids, vectors, features, bits, links of the nodes; (source_id, id, node) of the records with a source_id, sorted."""
     n, m = np.frombuffer(b, np.int64, 2).tolist()
     at, out, sids = 16, [], []
@@ -528,17 +528,17 @@ class ShardedIndex:
         """new_id, old_id (smaller), score: what the beams, the passes over crowded shards and the source_ids find and the exact comparison confirms."""
         if not self.parts:
             return self.spark.createDataFrame([], LINKS)
-        blocks = max(1, -(-n // self.block))
+        shards, k = self._read([p["shards"] for p in self.parts], SHARD).select("shard", "beam", "data"), sum(p["k"] for p in self.parts)
+        cast = n <= max_broadcast
+        # a shard is read once, or by several tasks with a block of queries each where there are fewer shards than cores
+        blocks = max(1, min(-(-n // self.block), 2 * self.spark.sparkContext.defaultParallelism // k) if cast else -(-n // self.block))
         q = encoded.withColumn("block", F.pmod(F.xxhash64("id", F.lit("q")), F.lit(blocks)).cast("int"))
         q = q.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("id", "vec", "feat", "bits"))).alias("qs"))
-        shards = self._read([p["shards"] for p in self.parts], SHARD).select("shard", "beam", "data")
-        if n <= max_broadcast:
-            # a shard is read once, or by several tasks with some blocks each where there are fewer shards than cores
-            tasks = min(blocks, max(1, 2 * self.spark.sparkContext.defaultParallelism // max(1, sum(p["k"] for p in self.parts))))
-            pairs = None
-            for t in range(tasks):
-                part = shards.withColumn("block", F.explode(F.sequence(F.lit(t), F.lit(blocks - 1), F.lit(tasks))))
-                pairs = part if pairs is None else pairs.unionByName(part)
+        if cast:
+            of = lambda t: shards.withColumn("block", F.pmod("shard", F.lit(1)).cast("int") + t)
+            pairs = of(0)
+            for t in range(1, blocks):
+                pairs = pairs.unionByName(of(t))
             pairs = pairs.join(F.broadcast(q), "block")
         else:
             every = F.array(*[F.lit(p["base"] + i) for p in self.parts for i in range(p["k"])])
@@ -546,8 +546,10 @@ class ShardedIndex:
 
         def run(batches):
             for b in batches:
-                for qs, beam, data in zip(*(b.column(k).to_pylist() for k in ("qs", "beam", "data"))):
-                    ids, x, feat, bits, links, sids = _unpack(data)
+                for i in range(b.num_rows):
+                    # a shard is tens of MB: it is read in place
+                    ids, x, feat, bits, links, sids = _unpack(b.column("data")[i].as_buffer())
+                    qs, beam = b.column("qs")[i].as_py(), b.column("beam")[i].as_py()
                     qid = np.array([r["id"] for r in qs])
                     qv = np.frombuffer(b"".join(r["vec"] for r in qs), np.float32).reshape(-1, DIM)
                     qf = np.frombuffer(b"".join(r["feat"] for r in qs), np.int64).reshape(-1, len(FEATS))
