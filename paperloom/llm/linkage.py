@@ -174,18 +174,20 @@ def candidates(a: DataFrame, b: DataFrame) -> DataFrame:
     def banded(x: DataFrame, side: str) -> DataFrame:
         def run(batches):
             for batch in batches:
-                hs, vs = batch.column(0), batch.column(1).to_pylist()
+                hs, vecs = batch.column(0), batch.column(1)
+                vs = vecs.to_pylist()
                 ks = [zlib.crc32(b.encode()) | i << 32 for v in vs for i, b in enumerate(bands(v, TITLE_BITS, TITLE_RADIUS + 1))]
                 at = np.repeat(np.arange(len(vs)), TITLE_RADIUS + 1)
-                yield pa.RecordBatch.from_arrays([hs.take(pa.array(at)), pa.array(ks, pa.int64())], names=[f"{side}_h", "band"])
+                at = pa.array(at)
+                yield pa.RecordBatch.from_arrays([hs.take(at), vecs.take(at), pa.array(ks, pa.int64())], names=[f"{side}_h", f"{side}_tv", "band"])
 
-        return x.select(f"{side}_h", f"{side}_tv").mapInArrow(run, f"{side}_h bigint, band bigint")
+        return x.select(f"{side}_h", f"{side}_tv").mapInArrow(run, f"{side}_h bigint, {side}_tv array<bigint>, band bigint")
 
     distance = sum((F.bit_count(F.col("a_tv")[i].bitwiseXOR(F.col("b_tv")[i])) for i in range(WORDS)), F.lit(0))
     ta, tb = titles(a, "a"), titles(b, "b")
-    # only hashes of titles and bands travel; the vectors are fetched for the pairs that meet
-    met = banded(ta, "a").join(banded(tb, "b"), "band").select("a_h", "b_h").distinct()
-    near = met.join(ta, "a_h").join(tb, "b_h").filter(distance <= TITLE_RADIUS).select("a_title", "b_title")
+    # hashes of titles and bands travel, with the vectors, as many more pairs meet in a band than are near; the titles are fetched afterwards
+    met = banded(ta, "a").join(banded(tb, "b"), "band").filter(distance <= TITLE_RADIUS).select("a_h", "b_h").distinct()
+    near = met.join(ta.select("a_h", "a_title"), "a_h").join(tb.select("b_h", "b_title"), "b_h").select("a_title", "b_title")
     # each record of the first table under the second's titles that are near its own
     near_a = near.join(a.select("id", F.col("title").alias("a_title")), "a_title").select("id", F.col("b_title").alias("key"))
     by_title = _all_pairs(cut(near_a), b.filter("title is not null").select("id", F.col("title").alias("key")))
