@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from paperloom.llm.increments import ShardedIndex, accept, encode, first_ids, repeats, same_paper
 from paperloom.llm.languages import find_languages, found
-from paperloom.llm.linkage import _encode, candidates, link
+from paperloom.llm import linkage
+from paperloom.llm.linkage import _encode, candidates, compare, crowd_patterns, crowds, link, near_titles
 from paperloom.llm.mixing import mix, rates, shares
 from paperloom.llm.names import link_names, name_pairs
 from paperloom.llm.packing import pack, usage
@@ -278,3 +279,24 @@ def test_candidates_of_common_titles_and_places(spark):
     x, y = (_encode(spark.createDataFrame(r, PAPER_SCHEMA)) for r in (a, b))
     got = {(r["a_id"], r["b_id"]) for r in candidates(x, y).collect()}
     assert got == {(i, 1000) for i in range(70)} | {(100 + i, 1001) for i in range(70)}
+
+
+def test_common_titles_are_compared_in_blocks(spark, monkeypatch):
+    """Pairs of common titles are never rows, and count and match as they do one by one."""
+    rng = random.Random(9)
+    more = lambda: {"authors_json": f'["Ke {rng.choice(["Jikadun", "Sinon", "Runon"])}"]', "issue_id": f"{rng.randint(1, 9)}_{rng.choice(['1', '2', ''])}", "issn": rng.choice([None, "1000-0001", "1000-0002"]), "publication_year": rng.choice([None, 2001, 2002]), "registered_at": None}
+    a = [_paper(i, "Recent Court Rulings", rng.randint(1, 40), **more()) for i in range(80)]
+    b = [r | {"id": 1000 + r["id"], "title_eng": rng.choice(["Recent Court Rulings", "Recent Court Ruligs", "Recent Court Rulings (Part II)"]), "doi": None} for r in a[:70]]
+    kci, scopus = (spark.createDataFrame(r, PAPER_SCHEMA) for r in (a, b))
+    monkeypatch.setattr(linkage, "SIDE", 30)
+    monkeypatch.setattr(linkage, "CROWD", 100)
+    x, y = (_encode(t) for t in (kci, scopus))
+    x, y = (t.join(t.groupBy("title").agg(F.count("*").alias("common")), "title").cache() for t in (x, y))
+    near = near_titles(x, y).filter("a_n * b_n > 100")
+    pairs = x.join(near, F.col("title") == F.col("a_title")).select(F.col("id").alias("a_id"), "b_title").join(y.select(F.col("id").alias("b_id"), F.col("title").alias("b_title")), "b_title").select("a_id", "b_id")
+    single = {(r["pattern"], r["count"]) for r in compare(x, y, pairs).groupBy("pattern").count().collect()}
+    assert len(single) > 20 and {(r["pattern"], r["n"]) for r in crowd_patterns(crowds(x, y, near)).collect()} == single
+    assert compare(x, y, candidates(x, y), apart=True).join(pairs, ["a_id", "b_id"]).count() == 0
+    got = sorted(map(tuple, link(kci, scopus).select("a_id", "b_id").collect()))
+    monkeypatch.setattr(linkage, "CROWD", 1 << 40)
+    assert got and got == sorted(map(tuple, link(kci, scopus).select("a_id", "b_id").collect()))
