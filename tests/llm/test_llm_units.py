@@ -163,6 +163,31 @@ def test_graph_search_against_exhaustive():
     assert (I.beam_search(x[:1], I.build_graph(x[:1], 1), q[:3], 8, I._entries(1))[:, 0] == 0).all()
 
 
+def test_whole_shard_is_searched_along_lists(monkeypatch):
+    """A pass over the whole shard finds what comparing every node does, and compares few of them."""
+    rng = np.random.default_rng(4)
+    n, m = 1500, 60
+
+    def some(k):
+        feat = np.stack([np.zeros(k, int), *(rng.integers(0, d, k) for d in (400, 12, 30, 7, 300, 300)), rng.integers(1, 3, k), rng.integers(0, 4, k)], axis=1)
+        return feat, rng.integers(-(2**62), 2**62, (k, 20)) * (rng.random((k, 1)) < 0.9)
+
+    feat, bits = some(n)
+    qf, qb = some(m)
+    like = rng.integers(0, n, 40)  # queries that are nodes with some fields gone
+    qf[:40], qb[:40] = np.where(rng.random((40, 9)) < 0.2, 0, feat[like]), bits[like]
+    qf[:40, 0], qb[:40, 16:] = 0, np.where(rng.random((40, 1)) < 0.3, 0, bits[like, 16:])
+    ids, qid, x, same, compared = np.arange(n), np.arange(n, n + m) - 200, np.zeros((n, I.DIM), np.float32), I.same_paper, []
+    want = set()
+    for k in range(m):
+        s = same(np.broadcast_to(qf[k], feat.shape), np.broadcast_to(qb[k], bits.shape), feat, bits)
+        want |= {(k, int(i), float(s[i])) for i in np.flatnonzero((s >= 0) & (ids < qid[k]))}
+    monkeypatch.setattr(I, "same_paper", lambda *a: compared.append(len(a[0])) or same(*a))
+    got = I.shard_matches(ids, x, feat, bits, np.full((n, 4), -1), n, qid, np.zeros((m, I.DIM), np.float32), qf, qb)
+    assert len(want) > 20 and {(int(r), int(i), float(s)) for r, i, s in zip(*got)} == want
+    assert sum(compared) < 0.2 * n * m
+
+
 def test_same_paper():
     base = {k: None for k in I.COLUMNS} | {"source_id": "A1", "title": "가나다 라마바사 아자차", "doi": None, "authors_json": '["지카둔 케논"]', "journal_id": "J", "issue_id": "3_1", "first_page": "5", "final_page": "9"}
     score = lambda a, b: float(I.same_paper(*[np.frombuffer(v, np.int64)[None, :] for r in (a, b) for v in I.encode_record(r)[1:]])[0])
